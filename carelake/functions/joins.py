@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a size check, shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when it has at most this many rows.
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Return ``df`` with a broadcast hint if it holds at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a LIMIT stops the scan
+    early), so it is cheap for small tables and bounded for big ones. Larger
+    inputs are returned unhinted and Spark plans a shuffle join (AQE may
+    still switch to a broadcast from runtime statistics).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
