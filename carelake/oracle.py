@@ -272,4 +272,176 @@ def analytics_sql() -> dict[str, str]:
 
 def all_sql() -> dict[str, str]:
     out = analytics_sql()
+    out.update(etl_sql())
     return out
+
+
+# ---------------------------------------------------------------------------
+# Raw text claims with seeded defects, validation, typed valid rows, curation
+# ---------------------------------------------------------------------------
+from carelake.schema import NA_TOKENS, RAW_FIELDS  # noqa: E402
+
+
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+RAW_CTES = f"""
+slotted AS (
+  SELECT *, (_orderkey * 31 + _linenumber) % 97 AS slot FROM claims
+),
+raw AS (
+  SELECT claim_id,
+    CASE WHEN slot = 5 THEN NULL ELSE member_id END AS member_id,
+    CASE WHEN slot = 10 THEN 'NA' ELSE state_code END AS state_code,
+    plan_id,
+    CASE WHEN slot = 4 THEN '2024-13-01' WHEN slot = 10 THEN 'bad'
+         ELSE strftime(service_date, '%Y-%m-%d') END AS service_date,
+    CASE slot WHEN 0 THEN 'XX' WHEN 6 THEN NULL WHEN 8 THEN 'ip' ELSE claim_type END AS claim_type,
+    diagnosis_code, procedure_code,
+    CASE slot WHEN 2 THEN 'N/A' WHEN 7 THEN 'abc'
+         ELSE CAST(CAST(billed_amount AS DECIMAL(12,2)) AS VARCHAR) END AS billed_amount,
+    CASE slot WHEN 3 THEN 'x12' WHEN 9 THEN ''
+         ELSE CAST(CAST(paid_amount AS DECIMAL(12,2)) AS VARCHAR) END AS paid_amount,
+    CASE slot WHEN 1 THEN 'OPEN' WHEN 7 THEN 'OPEN' ELSE claim_status END AS claim_status,
+    provider_id, provider_type, managed_care_flag
+  FROM slotted
+),
+nz AS (
+  SELECT {", ".join(f"CASE WHEN {f} IN ({_sql_list(NA_TOKENS)}) THEN NULL ELSE {f} END AS {f}" for f in RAW_FIELDS)}
+  FROM raw
+),
+errs AS (
+  {" UNION ALL ".join(f"SELECT claim_id, 'NULL_VALUE' AS rule, '{c}' AS field, {c} AS bad_value, 'Null in {c}' AS error FROM nz WHERE {c} IS NULL" for c in ["claim_id", "member_id", "state_code", "service_date", "claim_type", "billed_amount", "paid_amount", "claim_status"])}
+  UNION ALL SELECT claim_id, 'UNKNOWN_CLAIM_TYPE', 'claim_type', claim_type,
+         'Unknown claim_type: ' || COALESCE(claim_type, 'nan') FROM nz
+         WHERE claim_type IS NULL OR claim_type NOT IN ('IP', 'OP', 'LTC', 'RX')
+  UNION ALL SELECT claim_id, 'UNKNOWN_CLAIM_STATUS', 'claim_status', claim_status,
+         'Unknown claim_status: ' || COALESCE(claim_status, 'nan') FROM nz
+         WHERE claim_status IS NULL OR claim_status NOT IN ('PAID', 'DENIED', 'PENDING', 'VOID')
+  UNION ALL SELECT claim_id, 'NON_NUMERIC', 'billed_amount', billed_amount, 'Non-numeric billed_amount'
+         FROM nz WHERE TRY_CAST(billed_amount AS DECIMAL(18,4)) IS NULL
+  UNION ALL SELECT claim_id, 'NON_NUMERIC', 'paid_amount', paid_amount, 'Non-numeric paid_amount'
+         FROM nz WHERE TRY_CAST(paid_amount AS DECIMAL(18,4)) IS NULL
+  UNION ALL SELECT claim_id, 'BAD_DATE', 'service_date', service_date,
+         'Bad date in service_date: ' || service_date FROM nz
+         WHERE service_date IS NOT NULL AND TRY_STRPTIME(service_date, '%Y-%m-%d') IS NULL
+),
+valid_text AS (
+  SELECT * FROM nz
+  WHERE claim_id IS NOT NULL AND member_id IS NOT NULL AND state_code IS NOT NULL
+    AND claim_type IN ('IP', 'OP', 'LTC', 'RX')
+    AND claim_status IN ('PAID', 'DENIED', 'PENDING', 'VOID')
+    AND TRY_CAST(billed_amount AS DECIMAL(18,4)) IS NOT NULL
+    AND TRY_CAST(paid_amount AS DECIMAL(18,4)) IS NOT NULL
+    AND TRY_STRPTIME(service_date, '%Y-%m-%d') IS NOT NULL
+),
+vt AS (
+  SELECT claim_id, member_id, state_code, plan_id,
+         CAST(TRY_STRPTIME(service_date, '%Y-%m-%d') AS DATE) AS service_date,
+         claim_type, diagnosis_code, procedure_code,
+         TRY_CAST(billed_amount AS DECIMAL(18,4)) AS billed_amount,
+         TRY_CAST(paid_amount AS DECIMAL(18,4)) AS paid_amount,
+         claim_status, provider_id, provider_type, managed_care_flag
+  FROM valid_text
+)"""
+
+RAW_SELECT = ", ".join(RAW_FIELDS)
+
+
+def derived_cte(src: str, name: str = "der") -> str:
+    rate = xr("paid_amount", "billed_amount", 4, 1, 10000, 10000)
+    return f"""
+{name} AS (
+  SELECT {RAW_SELECT},
+    CAST(year(service_date) AS INTEGER) AS service_year,
+    CAST(month(service_date) AS INTEGER) AS service_month,
+    CAST(quarter(service_date) AS INTEGER) AS service_quarter,
+    CASE WHEN billed_amount > 0 THEN {rate} ELSE 0.0 END AS payment_rate,
+    COALESCE(claim_type = 'IP', false) AS is_inpatient,
+    COALESCE(claim_status = 'DENIED', false) AS is_denied,
+    COALESCE(provider_type = 'BEHAVIORAL', false) AS is_behavioral,
+    COALESCE(claim_status = 'DENIED', false) AND COALESCE(paid_amount > 0, false) AS anomaly_paid_denied
+  FROM {src}
+)"""
+
+
+def curated_cte(src: str, name: str = "cur") -> str:
+    return derived_cte(src, "der_" + name) + f""",
+{name} AS (
+  SELECT *,
+    SUM(paid_amount) OVER (PARTITION BY member_id ORDER BY service_date, claim_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS member_cumulative_paid,
+    CAST(date_diff('day', LAG(service_date) OVER (PARTITION BY member_id ORDER BY service_date, claim_id),
+                   service_date) AS INTEGER) AS days_since_last_claim
+  FROM der_{name}
+)"""
+
+
+def _report(cols: list[str], money: set[str]) -> str:
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in money else c for c in cols)
+
+
+MONEY_COLS = {"billed_amount", "paid_amount", "member_cumulative_paid"}
+
+
+def etl_sql() -> dict[str, str]:
+    from carelake.schema import CURATED_FIELDS, CURATED_PAID_FIELDS
+
+    raw_body = f"SELECT {RAW_SELECT} FROM raw"
+    errors = "SELECT claim_id, rule, field, bad_value, error FROM errs"
+    valid = f"SELECT {_report(RAW_FIELDS, MONEY_COLS)} FROM vt"
+    counts = """SELECT (SELECT COUNT(*) FROM nz) AS rows_raw,
+       (SELECT COUNT(*) FROM vt) AS rows_valid,
+       (SELECT COUNT(*) FROM nz) - (SELECT COUNT(*) FROM vt) AS rows_invalid,
+       (SELECT COUNT(*) FROM errs) AS error_count"""
+    e3 = f"SELECT {_report(CURATED_FIELDS, MONEY_COLS)} FROM cur"
+    e4 = f"SELECT {_report(CURATED_PAID_FIELDS, MONEY_COLS)} FROM cur WHERE claim_status = 'PAID'"
+    d = "COUNT(CASE WHEN is_denied THEN 1 END)"
+    q13 = f"""SELECT c.*, t.* FROM ({counts}) c, (
+  SELECT COUNT(CASE WHEN anomaly_paid_denied THEN 1 END) AS anomalies_found,
+         {sum_m("billed_amount")} AS total_billed, {sum_m("paid_amount")} AS total_paid,
+         {pct(d, "COUNT(*)")} AS denial_rate_pct
+  FROM der) t"""
+    rate = "CAST(payment_rate AS DECIMAL(10,4))"
+    paid_rate = f"CASE WHEN claim_status = 'PAID' THEN {rate} END"
+    dd = "COUNT(CASE WHEN claim_status = 'DENIED' THEN 1 END)"
+    scal = {
+        "total_claims": "COUNT(*)",
+        "paid_claims": "COUNT(CASE WHEN claim_status = 'PAID' THEN 1 END)",
+        "denied_claims": dd,
+        "denial_rate_pct": pct(dd, "COUNT(*)"),
+        "total_billed": sum_m("billed_amount"),
+        "total_paid": sum_m("paid_amount"),
+        "mean_payment_rate_pct": pct(f"SUM({paid_rate})", f"COUNT({paid_rate})", 10000),
+        "inpatient_avg_paid": avg_m("CASE WHEN is_inpatient THEN paid_amount END"),
+        "behavioral_health_spend": sum_m("CASE WHEN is_behavioral THEN paid_amount END"),
+    }
+    parts = [
+        f"SELECT '{k}' AS metric, CAST(NULL AS VARCHAR) AS key, CAST({v} AS DOUBLE) AS value FROM der"
+        for k, v in scal.items()
+    ]
+    for metric, dim in (
+        ("spend_by_claim_type", "claim_type"),
+        ("spend_by_state", "state_code"),
+        ("spend_by_provider", "provider_type"),
+    ):
+        parts.append(
+            f"SELECT '{metric}', {dim}, {sum_m('paid_amount')} FROM der GROUP BY {dim}"
+        )
+    parts.append(
+        "SELECT * FROM (SELECT 'top_diagnoses', diagnosis_code, CAST(COUNT(claim_id) AS DOUBLE) AS v "
+        "FROM der GROUP BY diagnosis_code ORDER BY v DESC, diagnosis_code ASC NULLS LAST LIMIT 5)"
+    )
+    q12 = "\nUNION ALL ".join(parts)
+    with_raw = lambda body, extra="": with_claims(body, RAW_CTES + ("," + extra if extra else ""))
+    return {
+        "e1_raw_claims": with_raw(raw_body),
+        "e2_validation_errors": with_raw(errors),
+        "e2_valid_claims": with_raw(valid),
+        "e2_quality_counts": with_raw(counts),
+        "e3_curated_claims": with_claims(e3, curated_cte("claims")),
+        "e4_curated_paid": with_raw(e4, curated_cte("vt")),
+        "q12_analytics_summary": with_raw(q12, derived_cte("vt")),
+        "q13_load_summary": with_raw(q13, derived_cte("vt")),
+    }

@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from carelake.operators import quality as Q
 from carelake.plans import analytics as A
-from carelake.sources.tables import claims
+from carelake.plans import etl as E
+from carelake.plans.transform import curated_paid, derive, transform
+from carelake.sources.tables import claims, raw_claims
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,10 +60,51 @@ def analytics_queries() -> dict[str, Query]:
     }
 
 
+def report_types(df: DataFrame) -> DataFrame:
+    """Decimal columns as DOUBLE, for reports compared across engines."""
+    return df.select(
+        *[
+            F.col(f.name).cast("double").alias(f.name)
+            if isinstance(f.dataType, T.DecimalType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check(raw_claims(spark, sf_dir))
+
+
+def curated_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: the wide curated table over all claims (derive + windows)."""
+    return report_types(transform(claims(spark, sf_dir)))
+
+
+def etl_queries() -> dict[str, Query]:
+    return {
+        "e1_raw_claims": lambda s, d: raw_claims(s, d),
+        "e2_validation_errors": lambda s, d: Q.validation_errors(_checked(s, d)),
+        "e2_valid_claims": lambda s, d: report_types(Q.valid_claims(_checked(s, d))),
+        "e2_quality_counts": lambda s, d: Q.quality_counts(_checked(s, d)),
+        "e3_curated_claims": curated_claims,
+        "e4_curated_paid": lambda s, d: report_types(
+            curated_paid(transform(Q.valid_claims(_checked(s, d))))
+        ),
+        "q12_analytics_summary": lambda s, d: E.analytics_summary(
+            derive(Q.valid_claims(_checked(s, d)))
+        ),
+        "q13_load_summary": lambda s, d: E.load_summary(
+            _checked(s, d), derive(Q.valid_claims(_checked(s, d)))
+        ),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out = analytics_queries()
+    out.update(etl_queries())
     return out
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics_queries()["q1_baseline_kpis"](spark, sf_dir)
+    return curated_claims(spark, sf_dir)
