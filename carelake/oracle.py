@@ -273,6 +273,7 @@ def analytics_sql() -> dict[str, str]:
 def all_sql() -> dict[str, str]:
     out = analytics_sql()
     out.update(etl_sql())
+    out.update(segment_sql())
     return out
 
 
@@ -445,3 +446,95 @@ def etl_sql() -> dict[str, str]:
         "q12_analytics_summary": with_raw(q12, derived_cte("vt")),
         "q13_load_summary": with_raw(q13, derived_cte("vt")),
     }
+
+
+# ---------------------------------------------------------------------------
+# Segments
+# ---------------------------------------------------------------------------
+SEG_CTES = """
+ms AS (
+  SELECT member_id, SUM(paid_amount) AS mp, COUNT(*) AS n_claims
+  FROM claims WHERE claim_status = 'PAID' GROUP BY member_id
+),
+r AS (
+  SELECT member_id, mp, n_claims,
+         ROW_NUMBER() OVER (ORDER BY mp DESC, member_id) AS rk,
+         SUM(mp) OVER (ORDER BY mp DESC, member_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+         COUNT(*) OVER () AS n, SUM(mp) OVER () AS total
+  FROM ms
+),
+ra AS (
+  SELECT member_id, mp, ROW_NUMBER() OVER (ORDER BY mp, member_id) AS rk, COUNT(*) OVER () AS n FROM ms
+),
+med AS (
+  SELECT SUM(CASE WHEN rk = (n - 1) // 2 + 1 THEN mp END) + SUM(CASE WHEN rk = n // 2 + 1 THEN mp END) AS med2
+  FROM ra
+),
+seg AS (
+  SELECT ms.member_id, ms.mp, ms.n_claims,
+         CASE WHEN 2 * ms.mp >= med.med2 THEN 'High-Cost' ELSE 'Low-Cost' END AS segment
+  FROM ms, med
+)"""
+
+
+def _age_band_sql(col: str) -> str:
+    b = f"(('0x' || substr(md5('42:' || {col}), 1, 8))::BIGINT % 100)"
+    return (
+        f"CASE WHEN {b} < 15 THEN '18–34' WHEN {b} < 40 THEN '35–49' "
+        f"WHEN {b} < 75 THEN '50–64' ELSE '65+' END"
+    )
+
+
+def _mix(label_expr: str, values: list[str], names: list[str]) -> str:
+    counts = [f"COUNT(CASE WHEN lbl = '{v}' THEN 1 END)" for v in values]
+    total = "(" + " + ".join(counts) + ")"
+    cols = ", ".join(f"{pct(c, total)} AS {n}" for c, n in zip(counts, names))
+    return f"""SELECT segment, CAST({total} AS BIGINT) AS claims, {cols}
+FROM (SELECT seg.segment, {label_expr} AS lbl
+      FROM claims JOIN seg ON claims.member_id = seg.member_id
+      WHERE claims.claim_status = 'PAID') x
+GROUP BY segment"""
+
+
+def segment_sql() -> dict[str, str]:
+    w = lambda body: with_claims(body, SEG_CTES)
+    v1 = f"""SELECT member_id, CAST(ROUND(mp, 2) AS DOUBLE) AS total_paid, rk AS spend_rank,
+       CASE WHEN n <= 1 THEN 0.0 ELSE {xr("rk - 1", "n - 1", 4, 100)} END AS member_pct,
+       {xr("cum", "total", 4, 100, 10000, 10000)} AS cum_pct,
+       rk <= GREATEST(1, FLOOR(n * 0.2::DOUBLE)) AS is_top
+FROM r"""
+    v2 = f"""SELECT n AS members, CAST(GREATEST(1, FLOOR(n * 0.2::DOUBLE)) AS BIGINT) AS top_members,
+       CAST(ROUND(cum, 2) AS DOUBLE) AS top_paid, CAST(ROUND(total, 2) AS DOUBLE) AS total_paid,
+       {xr("cum", "total", 4, 100, 10000, 10000)} AS top_pct
+FROM r WHERE rk = GREATEST(1, FLOOR(n * 0.2::DOUBLE))"""
+    v3 = f"""SELECT claim_type, {sum_m("paid_amount")} AS total_paid,
+       {xr("SUM(paid_amount)", "SUM(SUM(paid_amount)) OVER ()", 2, 100, 10000, 10000)} AS share_pct
+FROM claims WHERE claim_status = 'PAID' GROUP BY claim_type"""
+    v4 = f"""SELECT claim_type, {avg_m("paid_amount")} AS avg_paid, COUNT(*) AS claim_count
+FROM claims WHERE claim_status = 'PAID' GROUP BY claim_type"""
+    v5 = f"""SELECT segment, COUNT(*) AS members, CAST(SUM(n_claims) AS BIGINT) AS claims,
+       {xr("SUM(mp)", "SUM(n_claims)", 2, 1, 10000, 10000)} AS avg_paid,
+       CAST(ROUND(SUM(mp), 2) AS DOUBLE) AS total_paid
+FROM seg GROUP BY segment"""
+    types = ["IP", "OP", "LTC", "RX"]
+    v6 = _mix("claims.claim_type", types, [f"{t}_pct" for t in types])
+    v7 = _mix(
+        _age_band_sql("claims.claim_id"),
+        ["18–34", "35–49", "50–64", "65+"],
+        ["age_18_34_pct", "age_35_49_pct", "age_50_64_pct", "age_65_plus_pct"],
+    )
+    d = "COUNT(CASE WHEN claim_status = 'DENIED' THEN 1 END)"
+    v8 = f"""SELECT COUNT(DISTINCT member_id) AS members, COUNT(*) AS total_claims,
+       {sum_m("CASE WHEN claim_status = 'PAID' THEN paid_amount END")} AS paid_spend,
+       {pct(d, "COUNT(*)")} AS denial_rate_pct
+FROM claims"""
+    return {
+        "v1_pareto_curve": w(v1),
+        "v2_top_share": w(v2),
+        "v3_spend_by_claim_type": w(v3),
+        "v4_unit_cost_by_claim_type": w(v4),
+        "v5_cost_segments": w(v5),
+        "v6_segment_claim_type_mix": w(v6),
+        "v7_segment_age_mix": w(v7),
+        "v8_headline_counts": with_claims(v8),
+    }

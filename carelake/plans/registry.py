@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from carelake.operators import quality as Q
 from carelake.plans import analytics as A
 from carelake.plans import etl as E
+from carelake.plans import segments as V
 from carelake.plans.transform import curated_paid, derive, transform
 from carelake.sources.tables import claims, raw_claims
 
@@ -100,9 +101,31 @@ def etl_queries() -> dict[str, Query]:
     }
 
 
+SEGMENT_FIELDS = ["claim_id", "member_id", "claim_type", "claim_status", "paid_amount"]
+
+
+def segment_queries() -> dict[str, Query]:
+    def seg(fn: Callable[[DataFrame], DataFrame]) -> Query:
+        return lambda s, d: fn(claims(s, d, SEGMENT_FIELDS))
+
+    return {
+        "v1_pareto_curve": seg(V.pareto_curve),
+        "v2_top_share": seg(V.top_share),
+        "v3_spend_by_claim_type": seg(V.spend_by_claim_type),
+        "v4_unit_cost_by_claim_type": seg(V.unit_cost_by_claim_type),
+        "v5_cost_segments": seg(V.cost_segments),
+        "v6_segment_claim_type_mix": seg(V.segment_claim_type_mix),
+        "v7_segment_age_mix": seg(V.segment_age_mix),
+        "v8_headline_counts": lambda s, d: V.headline_counts(
+            claims(s, d, ["member_id", "claim_status", "paid_amount"])
+        ),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out = analytics_queries()
     out.update(etl_queries())
+    out.update(segment_queries())
     return out
 
 
