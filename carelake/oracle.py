@@ -274,6 +274,7 @@ def all_sql() -> dict[str, str]:
     out = analytics_sql()
     out.update(etl_sql())
     out.update(segment_sql())
+    out.update(text_sql())
     return out
 
 
@@ -538,3 +539,101 @@ FROM claims"""
         "v7_segment_age_mix": w(v7),
         "v8_headline_counts": with_claims(v8),
     }
+
+
+# ---------------------------------------------------------------------------
+# Text tasks
+# ---------------------------------------------------------------------------
+def _bucket_sql(col: str, seed: str) -> str:
+    return f"((('0x' || substr(md5('{seed}:' || {col}), 1, 8))::BIGINT) % 100)"
+
+
+def text_sql() -> dict[str, str]:
+    from carelake.plans.notes import (
+        ANOMALY_EXPLANATIONS,
+        EMPTY_CONFIDENCE,
+        NOTE_RULES,
+        OTHER_CONFIDENCE,
+    )
+    from carelake.sources.tables import DENIAL_NOTE_TEXTS
+
+    note_case = "CASE _linenumber " + " ".join(
+        f"WHEN {i} THEN '{t}'" for i, t in enumerate(DENIAL_NOTE_TEXTS, start=1)
+    ) + " END"
+    txt = "lower(trim(note))"
+    blank = f"(note IS NULL OR {txt} = '')"
+    cat = f"CASE WHEN {blank} THEN 'OTHER' " + " ".join(
+        f"WHEN regexp_matches({txt}, '{p}') THEN '{c}'" for c, p, _ in NOTE_RULES
+    ) + " ELSE 'OTHER' END"
+    conf = f"CASE WHEN {blank} THEN {EMPTY_CONFIDENCE} " + " ".join(
+        f"WHEN regexp_matches({txt}, '{p}') THEN {v}" for _, p, v in NOTE_RULES
+    ) + f" ELSE {OTHER_CONFIDENCE} END"
+    ctes = f"""
+notes AS (
+  SELECT claim_id, service_date, {note_case} AS note FROM claims WHERE claim_status = 'DENIED'
+),
+classified AS (
+  SELECT claim_id, service_date, note, {cat} AS category, CAST({conf} AS DOUBLE) AS confidence FROM notes
+)"""
+    t2 = with_claims("SELECT * FROM classified", ctes)
+    t3 = with_claims(
+        """SELECT strftime(service_date, '%Y-%m') AS service_month, category, COUNT(*) AS denials
+FROM classified GROUP BY 1, 2""",
+        ctes,
+    )
+    b = _bucket_sql("claim_id", "resp")
+    t4 = with_claims(
+        f"""SELECT claim_id,
+       CASE WHEN {b} < 5 THEN 'malformed' WHEN {b} < 8 THEN 'empty' ELSE 'ok' END AS parse_status,
+       CASE WHEN {b} >= 8 THEN note END AS note,
+       CASE WHEN {b} >= 8 THEN category END AS category,
+       CASE WHEN {b} >= 8 THEN confidence END AS confidence
+FROM classified""",
+        ctes,
+    )
+    t5 = with_claims(
+        """SELECT claim_id, CAST(to_json(struct_pack(claim_id := claim_id,
+                   paid_amount := CAST(paid_amount AS DOUBLE), claim_status := claim_status)) AS VARCHAR) AS record
+FROM claims WHERE claim_status = 'DENIED' AND paid_amount > 0"""
+    )
+    code, cause, remedy = ANOMALY_EXPLANATIONS[0]
+    t6 = with_claims(
+        f"""SELECT '{code}' AS anomaly_code, claim_id, member_id, CAST(paid_amount AS DOUBLE) AS paid_amount,
+       '{cause}' AS likely_cause, '{remedy}' AS remediation
+FROM claims WHERE claim_status = 'DENIED' AND paid_amount > 0"""
+    )
+    d = "COUNT(CASE WHEN claim_status = 'DENIED' THEN 1 END)"
+    ip = "CASE WHEN claim_type = 'IP' THEN paid_amount END"
+    bh = "CASE WHEN provider_type = 'BEHAVIORAL' THEN paid_amount END"
+    metrics = f"""m AS (
+  SELECT COUNT(*) AS total_claims,
+         COUNT(CASE WHEN claim_status = 'PAID' THEN 1 END) AS paid_claims,
+         {d} AS denied_claims, {pct(d, "COUNT(*)")} AS denial_rate_pct,
+         {sum_m("billed_amount")} AS total_billed, {sum_m("paid_amount")} AS total_paid,
+         {avg_m(ip)} AS inpatient_avg_paid, {sum_m(bh)} AS behavioral_health_spend,
+         COUNT(CASE WHEN claim_status = 'DENIED' AND paid_amount > 0 THEN 1 END) AS anomalies
+  FROM claims
+)"""
+    money = lambda c: f"'$' || format('{{:,.2f}}', {c})"
+    t1 = with_claims(
+        f"""SELECT *, denial_rate_pct > 10.0 AS denial_attention, anomalies > 0 AS anomaly_attention,
+  concat_ws(' ',
+    format('{{:,}}', total_claims) || ' claims processed: ' || format('{{:,}}', paid_claims) || ' paid, '
+      || format('{{:,}}', denied_claims) || ' denied (' || format('{{:,.2f}}', denial_rate_pct) || '% denial rate).',
+    'Paid ' || {money("total_paid")} || ' of ' || {money("total_billed")} || ' billed.',
+    'Inpatient claims average ' || COALESCE({money("inpatient_avg_paid")}, 'n/a')
+      || '; behavioral health spend is ' || COALESCE({money("behavioral_health_spend")}, '$0.00') || '.',
+    CASE WHEN denial_rate_pct > 10.0 THEN 'Attention: denial rate is above 10%.' END,
+    CASE WHEN anomalies > 0 THEN 'Attention: ' || format('{{:,}}', anomalies) || ' denied claims show a payment.' END
+  ) AS summary_text
+FROM m""",
+        metrics,
+    )
+    return {
+        "t1_executive_summary": t1,
+        "t2_denial_note_categories": t2,
+        "t3_denial_category_trend": t3,
+        "t4_parse_classifications": t4,
+        "t5_anomaly_payload": t5,
+        "t6_explain_anomalies": t6,
+    }

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from carelake.operators import quality as Q
 from carelake.plans import analytics as A
 from carelake.plans import etl as E
+from carelake.plans import notes as N
 from carelake.plans import segments as V
+from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.sources.tables import claims, raw_claims
+from carelake.sources.tables import claims, denial_notes, raw_claims
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,10 +124,40 @@ def segment_queries() -> dict[str, Query]:
     }
 
 
+# classifier responses: which claims get a malformed or an empty reply
+RESPONSE_SEED = "resp"
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classified = N.classify_denial_notes(denial_notes(spark, sf_dir))
+    b = md5_bucket(F.col("claim_id"), RESPONSE_SEED)
+    return N.classifier_responses(classified, malformed=b < 5, empty=(b >= 5) & (b < 8))
+
+
+def text_queries() -> dict[str, Query]:
+    return {
+        "t1_executive_summary": lambda s, d: N.executive_summary_text(
+            claims(s, d, ["claim_status", "billed_amount", "paid_amount", "claim_type", "provider_type"])
+        ),
+        "t2_denial_note_categories": lambda s, d: N.classify_denial_notes(denial_notes(s, d)),
+        "t3_denial_category_trend": lambda s, d: N.denial_category_trend(
+            N.classify_denial_notes(denial_notes(s, d))
+        ),
+        "t4_parse_classifications": lambda s, d: N.parse_classifications(_responses(s, d)),
+        "t5_anomaly_payload": lambda s, d: N.anomaly_payload(
+            claims(s, d, ["claim_id", "claim_status", "paid_amount"])
+        ),
+        "t6_explain_anomalies": lambda s, d: N.explain_anomalies(
+            claims(s, d, ["claim_id", "member_id", "claim_status", "paid_amount"])
+        ),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out = analytics_queries()
     out.update(etl_queries())
     out.update(segment_queries())
+    out.update(text_queries())
     return out
 
 

@@ -20,6 +20,7 @@ from carelake.functions.money import (
     pct,
     sum_money,
 )
+from carelake.functions.hashing import md5_bucket
 from carelake.operators.ranking import exact_median, global_running
 from carelake.schema import (
     AGE_BAND_CUTS,
@@ -187,8 +188,7 @@ def segment_claim_type_mix(claims: DataFrame, bands: int | None = None) -> DataF
 def age_band(claim_id: Column) -> Column:
     """Synthetic age band per claim: md5 of seed and claim_id, bucket 0..99,
     cut at 15 / 40 / 75 (probabilities .15 .25 .35 .25)."""
-    digest = F.md5(F.concat(F.lit(AGE_BAND_SEED + ":"), claim_id))
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100))
+    bucket = md5_bucket(claim_id, AGE_BAND_SEED)
     expr = None
     for label, cut in zip(AGE_BANDS, AGE_BAND_CUTS):
         expr = F.when(bucket < cut, label) if expr is None else expr.when(bucket < cut, label)

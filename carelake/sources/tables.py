@@ -218,3 +218,35 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir, set(RAW_FIELDS)).select(
         *[text[f].alias(f) for f in RAW_FIELDS]
     )
+
+
+# ---------------------------------------------------------------------------
+# Denial notes: free text attached to DENIED claims, picked by line number.
+# ---------------------------------------------------------------------------
+
+# fixed values: note texts by l_linenumber (1..7); the first four are the
+# example notes of the original task, the last three complete the taxonomy
+DENIAL_NOTE_TEXTS = [
+    "Service not authorized prior to date of service",
+    "Claim submitted beyond 90-day filing limit",
+    "Member not enrolled on date of service",
+    "Procedure code does not match diagnosis",
+    "Duplicate of a claim already paid",
+    "Service not medically necessary per plan criteria",
+    "Provider requested reconsideration of billed units",
+]
+
+
+def denial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """claim_id, service_date, note for every DENIED claim."""
+    li = read_table(spark, sf_dir, "lineitem")
+    exprs = _field_exprs()
+    n = F.col("l_linenumber")
+    note = None
+    for i, text in enumerate(DENIAL_NOTE_TEXTS, start=1):
+        note = F.when(n == i, text) if note is None else note.when(n == i, text)
+    return li.filter(exprs["claim_status"] == "DENIED").select(
+        exprs["claim_id"].alias("claim_id"),
+        exprs["service_date"].alias("service_date"),
+        note.alias("note"),
+    )
