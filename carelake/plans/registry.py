@@ -16,7 +16,8 @@ from carelake.plans import notes as N
 from carelake.plans import segments as V
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.sources.tables import claims, denial_notes, raw_claims
+from carelake.sources.layer import claims_layer, layer_claims as claims
+from carelake.sources.tables import notes_from_typed, raw_from_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,14 @@ def report_types(df: DataFrame) -> DataFrame:
     )
 
 
+def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_from_typed(claims_layer(spark, sf_dir))
+
+
+def denial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notes_from_typed(claims_layer(spark, sf_dir))
+
+
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.check(raw_claims(spark, sf_dir))
 

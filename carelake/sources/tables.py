@@ -172,7 +172,9 @@ DEFECT_MODULUS = 97
 
 def defect_slot() -> Column:
     """Which defect a line item carries: (orderkey * 31 + linenumber) mod 97."""
-    return F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber"), F.lit(DEFECT_MODULUS))
+    return F.pmod(
+        F.col("source_orderkey") * 31 + F.col("source_linenumber"), F.lit(DEFECT_MODULUS)
+    )
 
 
 # fixed values: defect slot -> (field, replacement text); None means null.
@@ -194,30 +196,41 @@ DEFECTS = [
 ]
 
 
-def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claims_with_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All claim fields plus the source line item key (orderkey, linenumber)."""
+    exprs = _field_exprs()
+    return _joined(spark, sf_dir, set(RAW_FIELDS)).select(
+        *[exprs[c].alias(c) for c in RAW_FIELDS],
+        F.col("l_orderkey").alias("source_orderkey"),
+        F.col("l_linenumber").alias("source_linenumber"),
+    )
+
+
+def raw_from_typed(typed: DataFrame) -> DataFrame:
     """All-text claims as a landing file would hold them, with seeded defects.
 
     Every field is text: dates as yyyy-MM-dd, amounts with two decimals. A
     small, fixed share of rows (slots 0-10 of 97) is spoiled so that every
-    validation rule fires; the rest are clean.
+    validation rule fires; the rest are clean. Needs the provenance columns.
     """
-    exprs = _field_exprs()
     text = {
         f: (
-            F.date_format(exprs[f], "yyyy-MM-dd")
+            F.date_format(F.col(f), "yyyy-MM-dd")
             if f == "service_date"
-            else exprs[f].cast("decimal(12,2)").cast("string")
+            else F.col(f).cast("decimal(12,2)").cast("string")
             if f in ("billed_amount", "paid_amount")
-            else exprs[f].cast("string")
+            else F.col(f).cast("string")
         )
         for f in RAW_FIELDS
     }
     slot = defect_slot()
     for s, field, value in DEFECTS:
         text[field] = F.when(slot == s, F.lit(value).cast("string")).otherwise(text[field])
-    return _joined(spark, sf_dir, set(RAW_FIELDS)).select(
-        *[text[f].alias(f) for f in RAW_FIELDS]
-    )
+    return typed.select(*[text[f].alias(f) for f in RAW_FIELDS])
+
+
+def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_from_typed(claims_with_provenance(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -237,16 +250,16 @@ DENIAL_NOTE_TEXTS = [
 ]
 
 
-def denial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """claim_id, service_date, note for every DENIED claim."""
-    li = read_table(spark, sf_dir, "lineitem")
-    exprs = _field_exprs()
-    n = F.col("l_linenumber")
+def notes_from_typed(typed: DataFrame) -> DataFrame:
+    """claim_id, service_date, note for every DENIED claim (needs provenance)."""
+    n = F.col("source_linenumber")
     note = None
     for i, text in enumerate(DENIAL_NOTE_TEXTS, start=1):
         note = F.when(n == i, text) if note is None else note.when(n == i, text)
-    return li.filter(exprs["claim_status"] == "DENIED").select(
-        exprs["claim_id"].alias("claim_id"),
-        exprs["service_date"].alias("service_date"),
-        note.alias("note"),
+    return typed.filter(F.col("claim_status") == "DENIED").select(
+        "claim_id", "service_date", note.alias("note")
     )
+
+
+def denial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notes_from_typed(claims_with_provenance(spark, sf_dir))
