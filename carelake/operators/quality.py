@@ -62,37 +62,29 @@ def normalize_missing(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataF
     )
 
 
-def _err(cond: Column, rule: str, field: str, message: Column) -> Column:
-    value = F.col(field).cast("string")
-    return F.when(
-        cond,
-        F.struct(
-            F.lit(rule).alias("rule"),
-            F.lit(field).alias("field"),
-            value.alias("bad_value"),
-            message.alias("error"),
-        ),
-    )
+# parsed copies of the typed fields, computed once and reused by the checks
+# and by the typed output
+PARSED = {"billed_amount": "_billed", "paid_amount": "_paid", "service_date": "_date"}
+INVALID = "_invalid"
 
 
 def _shown(field: str) -> Column:
     return F.coalesce(F.col(field).cast("string"), F.lit(MISSING_TEXT))
 
 
-def rule_checks() -> list[Column]:
-    checks = [
-        _err(F.col(c).isNull(), "NULL_VALUE", c, F.lit(f"Null in {c}")) for c in REQUIRED_FIELDS
-    ]
-    checks.append(
-        _err(
+def rules() -> list[tuple[Column, str, str, Column]]:
+    """(failure condition, rule, field, message) for every check, in order."""
+    out = [(F.col(c).isNull(), "NULL_VALUE", c, F.lit(f"Null in {c}")) for c in REQUIRED_FIELDS]
+    out.append(
+        (
             ~F.coalesce(F.col("claim_type").isin(CLAIM_TYPES), F.lit(False)),
             "UNKNOWN_CLAIM_TYPE",
             "claim_type",
             F.concat(F.lit("Unknown claim_type: "), _shown("claim_type")),
         )
     )
-    checks.append(
-        _err(
+    out.append(
+        (
             ~F.coalesce(F.col("claim_status").isin(CLAIM_STATUSES), F.lit(False)),
             "UNKNOWN_CLAIM_STATUS",
             "claim_status",
@@ -100,34 +92,67 @@ def rule_checks() -> list[Column]:
         )
     )
     for c in AMOUNT_FIELDS:
-        checks.append(_err(as_money(c).isNull(), "NON_NUMERIC", c, F.lit(f"Non-numeric {c}")))
-    checks.append(
-        _err(
-            F.col("service_date").isNotNull() & parse_date(F.col("service_date")).isNull(),
+        out.append((F.col(PARSED[c]).isNull(), "NON_NUMERIC", c, F.lit(f"Non-numeric {c}")))
+    out.append(
+        (
+            F.col("service_date").isNotNull() & F.col(PARSED["service_date"]).isNull(),
             "BAD_DATE",
             "service_date",
             F.concat(F.lit("Bad date in service_date: "), F.col("service_date")),
         )
     )
-    return checks
+    return out
+
+
+def _error_array() -> Column:
+    items = [
+        F.when(
+            cond,
+            F.struct(
+                F.lit(rule).alias("rule"),
+                F.lit(field).alias("field"),
+                F.col(field).cast("string").alias("bad_value"),
+                msg.alias("error"),
+            ),
+        )
+        for cond, rule, field, msg in rules()
+    ]
+    return F.filter(F.array(*items), lambda e: e.isNotNull())
 
 
 def check(raw: DataFrame) -> DataFrame:
-    """Raw (text) claims + ``_errors`` array of failed checks (empty if valid)."""
+    """Raw (text) claims + ``_invalid`` flag + ``_errors`` array.
+
+    ``_invalid`` is one boolean OR of the rule conditions, enough to split
+    valid from invalid rows. The ``_errors`` array is only evaluated where it
+    is used (error log, error count), i.e. on invalid rows.
+    """
     require_columns(raw)
-    df = normalize_missing(raw)
-    return df.withColumn(ERRORS, F.filter(F.array(*rule_checks()), lambda e: e.isNotNull()))
+    df = normalize_missing(raw).withColumns(
+        {
+            PARSED["billed_amount"]: as_money("billed_amount"),
+            PARSED["paid_amount"]: as_money("paid_amount"),
+            PARSED["service_date"]: parse_date(F.col("service_date")),
+        }
+    )
+    invalid = None
+    for cond, *_ in rules():
+        invalid = cond if invalid is None else invalid | cond
+    return df.withColumn(INVALID, invalid).withColumn(ERRORS, _error_array())
 
 
 def is_valid() -> Column:
-    return F.size(F.col(ERRORS)) == 0
+    return ~F.col(INVALID)
 
 
 def typed(valid_text: DataFrame) -> DataFrame:
-    """Cast validated text rows to the typed claim layout."""
+    """Cast validated text rows to the typed claim layout (reusing the
+    values parsed during the check when present)."""
     out = []
     for c in RAW_FIELDS:
-        if c == "service_date":
+        if c in PARSED and PARSED[c] in valid_text.columns:
+            out.append(F.col(PARSED[c]).alias(c))
+        elif c == "service_date":
             out.append(parse_date(F.col(c)).alias(c))
         elif c in AMOUNT_FIELDS:
             out.append(as_money(c).alias(c))
@@ -145,7 +170,11 @@ def valid_claims(checked: DataFrame) -> DataFrame:
 
 def invalid_rows(checked: DataFrame) -> DataFrame:
     """Rows with at least one error, as text, with their error count."""
-    return checked.filter(~is_valid()).withColumn("error_count", F.size(ERRORS)).drop(ERRORS)
+    return (
+        checked.filter(~is_valid())
+        .withColumn("error_count", F.size(ERRORS))
+        .drop(ERRORS, INVALID, *PARSED.values())
+    )
 
 
 def validation_errors(checked: DataFrame, with_source: bool = False) -> DataFrame:
@@ -174,7 +203,7 @@ def observe_counts(checked: DataFrame, name: str = "load_counts") -> tuple[DataF
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
-        F.sum(F.size(ERRORS)).alias("errors"),
+        F.sum(F.when(~is_valid(), F.size(ERRORS))).alias("errors"),
     )
     return observed, obs
 
@@ -185,5 +214,7 @@ def quality_counts(checked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
-        F.coalesce(F.sum(F.size(ERRORS)), F.lit(0)).cast("long").alias("error_count"),
+        F.coalesce(F.sum(F.when(~is_valid(), F.size(ERRORS))), F.lit(0))
+        .cast("long")
+        .alias("error_count"),
     )

@@ -390,7 +390,8 @@ MONEY_COLS = {"billed_amount", "paid_amount", "member_cumulative_paid"}
 def etl_sql() -> dict[str, str]:
     from carelake.schema import CURATED_FIELDS, CURATED_PAID_FIELDS
 
-    raw_body = f"SELECT {RAW_SELECT} FROM raw"
+    # as read back from the CSV landing file: empty text is null
+    raw_body = "SELECT " + ", ".join(f"NULLIF({f}, '') AS {f}" for f in RAW_FIELDS) + " FROM raw"
     errors = "SELECT claim_id, rule, field, bad_value, error FROM errs"
     valid = f"SELECT {_report(RAW_FIELDS, MONEY_COLS)} FROM vt"
     counts = """SELECT (SELECT COUNT(*) FROM nz) AS rows_raw,

@@ -16,7 +16,8 @@ from carelake.plans import notes as N
 from carelake.plans import segments as V
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.sources.layer import claims_layer, layer_claims as claims
+from carelake.sources.files import read_raw_csv
+from carelake.sources.layer import claims_layer, layer_claims as claims, raw_feed
 from carelake.sources.tables import notes_from_typed, raw_from_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +78,8 @@ def report_types(df: DataFrame) -> DataFrame:
 
 
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_typed(claims_layer(spark, sf_dir))
+    """The raw landing feed, read back through the all-text CSV ingest."""
+    return read_raw_csv(spark, raw_feed(spark, sf_dir))
 
 
 def denial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,39 @@ def claims_layer(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
     return spark.read.parquet(path)
 
 
+RAW_FEED_DIR = "raw_feed_csv"
+_KNOWN_FEED: dict[tuple[int, str], str] = {}
+
+
+def raw_feed(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    """Path of the raw landing feed for ``sf_dir``: header CSV, all text,
+    with the seeded defects (see ``tables.raw_from_typed``); written once
+    next to the claims layer."""
+    from carelake.sources.tables import raw_from_typed
+
+    key = (id(spark), sf_dir)
+    if key in _KNOWN_FEED and not rebuild:
+        return _KNOWN_FEED[key]
+    base = claims_layer(spark, sf_dir)
+    path = layer_path(spark, sf_dir) + "_" + RAW_FEED_DIR
+    exists = False
+    if not rebuild:
+        try:
+            spark.read.text(path).limit(1).collect()
+            exists = True
+        except AnalysisException:
+            exists = False
+    if not exists:
+        (
+            raw_from_typed(base)
+            .write.mode("overwrite")
+            .option("header", "true")
+            .csv(path)
+        )
+    _KNOWN_FEED[key] = path
+    return path
+
+
 def layer_claims(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Typed claims from the layer, restricted to ``columns`` (claim fields)."""
     cols = list(columns) if columns is not None else list(RAW_FIELDS)
