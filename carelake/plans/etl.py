@@ -15,32 +15,43 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.functions.money import MONEY_UNIT, avg_money, count_where, pct, sum_money
-from carelake.operators.quality import check, quality_counts, valid_claims, validation_errors
+from carelake.functions.money import MONEY_UNIT, count_where, money_per, pct, sum_money
+from carelake.operators.quality import (
+    ERRORS,
+    PARSED,
+    check,
+    is_valid,
+    valid_claims,
+    validation_errors,
+)
 from carelake.plans.transform import curated_paid, derive, transform
 from carelake.session import ensure_checkpoint_dir
 from carelake.sources import sinks
 
 
 # Q13 --------------------------------------------------------------------------
-def load_summary(checked: DataFrame, curated: DataFrame) -> DataFrame:
+def load_summary(checked: DataFrame) -> DataFrame:
     """Rows raw / valid / invalid, error records, anomalies, totals, denial %.
 
     ``rows_invalid`` counts rows; ``error_count`` counts failed checks (a row
-    can fail several).
+    can fail several). One aggregate over the checked rows: the totals use the
+    values parsed during the check, restricted to valid rows.
     """
-    counts = quality_counts(checked)
-    totals = curated.agg(
-        count_where(F.col("anomaly_paid_denied")).alias("anomalies_found"),
-        sum_money("billed_amount").alias("total_billed"),
-        sum_money("paid_amount").alias("total_paid"),
-        pct(count_where(F.col("is_denied")), F.count(F.lit(1))).alias("denial_rate_pct"),
+    valid = is_valid()
+    denied = valid & (F.col("claim_status") == "DENIED")
+    return checked.agg(
+        F.count(F.lit(1)).alias("rows_raw"),
+        F.count_if(valid).alias("rows_valid"),
+        F.count_if(~valid).alias("rows_invalid"),
+        F.coalesce(F.sum(F.when(~valid, F.size(ERRORS))), F.lit(0)).cast("long").alias("error_count"),
+        count_where(denied & (F.col(PARSED["paid_amount"]) > 0)).alias("anomalies_found"),
+        sum_money(F.when(valid, F.col(PARSED["billed_amount"]))).alias("total_billed"),
+        sum_money(F.when(valid, F.col(PARSED["paid_amount"]))).alias("total_paid"),
+        pct(count_where(denied), F.count_if(valid)).alias("denial_rate_pct"),
     )
-    # both sides are single rows: a one-row x one-row product
-    return counts.crossJoin(totals)
 
 
 # Q12 --------------------------------------------------------------------------
@@ -58,31 +69,45 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
     """The run summary as long rows (metric, key, value DOUBLE).
 
     Scalars have a null key; the spend maps have one row per group value;
-    ``top_diagnoses`` has the ``top_n`` most frequent codes. All of it comes
-    from one scan: a single aggregation over five grouping sets.
+    ``top_diagnoses`` has the ``top_n`` most frequent codes.
+
+    One scan and one shuffle of the claims: every metric is a sum or a count,
+    so claims are first aggregated at the finest grain (type x state x
+    provider x diagnosis) and only that small table is rolled up over the
+    five grouping sets.
     """
     paid = F.col("paid_amount")
     is_paid = F.col("claim_status") == "PAID"
     rate4 = F.col("payment_rate").cast("decimal(10,4)")
-    g = curated.groupingSets(
+    fine = curated.groupBy(*SUMMARY_DIMENSIONS).agg(
+        F.count(F.lit(1)).alias("n"),
+        count_where(is_paid).alias("paid_n"),
+        count_where(F.col("claim_status") == "DENIED").alias("denied_n"),
+        F.sum("billed_amount").alias("billed_s"),
+        F.sum(paid).alias("paid_s"),
+        F.sum(F.when(is_paid, rate4)).alias("rate_s"),
+        F.count(F.when(is_paid, rate4)).alias("rate_n"),
+        F.sum(F.when(F.col("is_inpatient"), paid)).alias("ip_s"),
+        F.count(F.when(F.col("is_inpatient"), paid)).alias("ip_n"),
+        F.sum(F.when(F.col("is_behavioral"), paid)).alias("bh_s"),
+        F.count("claim_id").alias("id_n"),
+    )
+    total = F.sum("n")
+    g = fine.groupingSets(
         [[], ["claim_type"], ["state_code"], ["provider_type"], ["diagnosis_code"]],
         *SUMMARY_DIMENSIONS,
     ).agg(
         F.grouping_id().alias("gid"),
-        F.count(F.lit(1)).alias("total_claims"),
-        count_where(is_paid).alias("paid_claims"),
-        count_where(F.col("claim_status") == "DENIED").alias("denied_claims"),
-        pct(count_where(F.col("claim_status") == "DENIED"), F.count(F.lit(1))).alias(
-            "denial_rate_pct"
-        ),
-        sum_money("billed_amount").alias("total_billed"),
-        sum_money(paid).alias("total_paid"),
-        pct(F.sum(F.when(is_paid, rate4)), F.count(F.when(is_paid, rate4)), unit=MONEY_UNIT).alias(
-            "mean_payment_rate_pct"
-        ),
-        avg_money(F.when(F.col("is_inpatient"), paid)).alias("inpatient_avg_paid"),
-        sum_money(F.when(F.col("is_behavioral"), paid)).alias("behavioral_health_spend"),
-        F.count("claim_id").alias("claim_count"),
+        total.alias("total_claims"),
+        F.sum("paid_n").alias("paid_claims"),
+        F.sum("denied_n").alias("denied_claims"),
+        pct(F.sum("denied_n"), total).alias("denial_rate_pct"),
+        sum_money("billed_s").alias("total_billed"),
+        sum_money("paid_s").alias("total_paid"),
+        pct(F.sum("rate_s"), F.sum("rate_n"), unit=MONEY_UNIT).alias("mean_payment_rate_pct"),
+        money_per(F.sum("ip_s"), F.sum("ip_n")).alias("inpatient_avg_paid"),
+        sum_money("bh_s").alias("behavioral_health_spend"),
+        F.sum("id_n").alias("claim_count"),
     )
     scalar_names = [
         "total_claims",
@@ -95,44 +120,29 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
         "inpatient_avg_paid",
         "behavioral_health_spend",
     ]
-    scalars = g.filter(F.col("gid") == _GID["all"]).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(m).alias("metric"),
-                        F.lit(None).cast("string").alias("key"),
-                        F.col(m).cast("double").alias("value"),
-                    )
-                    for m in scalar_names
-                ]
-            )
+
+    def row(metric: Column, key: Column, value: Column) -> Column:
+        return F.struct(
+            metric.alias("metric"), key.cast("string").alias("key"), value.cast("double").alias("value")
         )
+
+    # rank diagnosis rows inside their grouping set (bounded by code count)
+    by_set = Window.partitionBy("gid").orderBy(F.desc("claim_count"), F.asc_nulls_last("diagnosis_code"))
+    gid = F.col("gid")
+    rows = F.when(
+        gid == _GID["all"],
+        F.array(*[row(F.lit(m), F.lit(None), F.col(m)) for m in scalar_names]),
     )
-    parts = [scalars]
     for metric, dim in SUMMARY_MAP_METRICS.items():
-        parts.append(
-            g.filter(F.col("gid") == _GID[dim]).select(
-                F.lit(metric).alias("metric"),
-                F.col(dim).alias("key"),
-                F.col("total_paid").alias("value"),
-            )
-        )
-    top = (
-        g.filter(F.col("gid") == _GID["diagnosis_code"])
-        .orderBy(F.desc("claim_count"), F.asc_nulls_last("diagnosis_code"))
-        .limit(top_n)
-        .select(
-            F.lit("top_diagnoses").alias("metric"),
-            F.col("diagnosis_code").alias("key"),
-            F.col("claim_count").cast("double").alias("value"),
+        rows = rows.when(
+            gid == _GID[dim], F.array(row(F.lit(metric), F.col(dim), F.col("total_paid")))
         )
+    rows = rows.when(
+        (gid == _GID["diagnosis_code"]) & (F.col("_rn") <= top_n),
+        F.array(row(F.lit("top_diagnoses"), F.col("diagnosis_code"), F.col("claim_count"))),
     )
-    parts.append(top)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one pass over the rolled-up table: every grouping set emits its rows
+    return g.withColumn("_rn", F.row_number().over(by_set)).select(F.inline(rows))
 
 
 def summary_record(summary_long: DataFrame, run_timestamp: str) -> DataFrame:
@@ -212,7 +222,7 @@ def run_etl(
 
     summary_path = f"{out}/analytics_summary"
     sinks.write_summary_json(summary_record(analytics_summary(curated), ts), summary_path)
-    load = load_summary(checked, curated)
+    load = load_summary(checked)
     load_path = f"{out}/load_summary"
     sinks.write_summary_json(load.select(F.lit(ts).alias("run_timestamp"), "*"), load_path)
     counts = load.first().asDict()
