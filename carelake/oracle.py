@@ -406,7 +406,7 @@ def etl_sql() -> dict[str, str]:
          {sum_m("billed_amount")} AS total_billed, {sum_m("paid_amount")} AS total_paid,
          {pct(d, "COUNT(*)")} AS denial_rate_pct
   FROM der) t"""
-    rate = "CAST(payment_rate AS DECIMAL(10,4))"
+    rate = "CAST(payment_rate AS DECIMAL(38,4))"
     paid_rate = f"CASE WHEN claim_status = 'PAID' THEN {rate} END"
     dd = "COUNT(CASE WHEN claim_status = 'DENIED' THEN 1 END)"
     scal = {

@@ -78,7 +78,7 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
     """
     paid = F.col("paid_amount")
     is_paid = F.col("claim_status") == "PAID"
-    rate4 = F.col("payment_rate").cast("decimal(10,4)")
+    rate4 = F.col("payment_rate").cast("decimal(38,4)")
     fine = curated.groupBy(*SUMMARY_DIMENSIONS).agg(
         F.count(F.lit(1)).alias("n"),
         count_where(is_paid).alias("paid_n"),
