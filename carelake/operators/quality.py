@@ -177,11 +177,12 @@ def invalid_rows(checked: DataFrame) -> DataFrame:
     )
 
 
-def validation_errors(checked: DataFrame, with_source: bool = False) -> DataFrame:
-    """One row per (claim, failed check): claim_id, rule, field, bad_value, error."""
+def validation_errors(checked: DataFrame) -> DataFrame:
+    """One row per (claim, failed check): claim_id, rule, field, bad_value,
+    error, plus source_file when the raw scan carried it."""
     cols = [F.col("claim_id"), F.inline(F.col(ERRORS))]
-    if with_source:
-        cols.append(F.col("_metadata.file_path").alias("source_file"))
+    if "source_file" in checked.columns:
+        cols.append(F.col("source_file"))
     return checked.filter(~is_valid()).select(*cols)
 
 

@@ -536,6 +536,11 @@ FROM claims"""
         "v3_spend_by_claim_type": w(v3),
         "v4_unit_cost_by_claim_type": w(v4),
         "v5_cost_segments": w(v5),
+        "v5b_high_cost_claims": w(
+            """SELECT claim_id, member_id, service_date, claim_type, CAST(paid_amount AS DOUBLE) AS paid_amount
+FROM claims WHERE claim_status = 'PAID'
+  AND member_id IN (SELECT member_id FROM seg WHERE segment = 'High-Cost')"""
+        ),
         "v6_segment_claim_type_mix": w(v6),
         "v7_segment_age_mix": w(v7),
         "v8_headline_counts": with_claims(v8),

@@ -24,6 +24,7 @@ from carelake.operators.quality import (
     PARSED,
     check,
     is_valid,
+    observe_counts,
     valid_claims,
     validation_errors,
 )
@@ -208,7 +209,9 @@ def run_etl(
     ts = run_timestamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
     checked = check(raw).checkpoint(eager=True)
 
-    curated = transform(valid_claims(checked))
+    # raw / valid / invalid counts are filled in by the curated write itself
+    observed, obs = observe_counts(checked)
+    curated = transform(valid_claims(observed))
     out = output_dir.rstrip("/")
     curated_path = f"{out}/curated_claims"
     sinks.write_table(curated, curated_path)
@@ -226,6 +229,7 @@ def run_etl(
     load_path = f"{out}/load_summary"
     sinks.write_summary_json(load.select(F.lit(ts).alias("run_timestamp"), "*"), load_path)
     counts = load.first().asDict()
+    counts["observed"] = dict(obs.get)
     return EtlResult(curated_path, paid_path, errors_path if wrote else None, summary_path, counts)
 
 

@@ -125,6 +125,9 @@ def segment_queries() -> dict[str, Query]:
         "v3_spend_by_claim_type": seg(V.spend_by_claim_type),
         "v4_unit_cost_by_claim_type": seg(V.unit_cost_by_claim_type),
         "v5_cost_segments": seg(V.cost_segments),
+        "v5b_high_cost_claims": lambda s, d: V.segment_claims(
+            claims(s, d, SEGMENT_FIELDS + ["service_date"])
+        ).select("claim_id", "member_id", "service_date", "claim_type", F.col("paid_amount").cast("double").alias("paid_amount")),
         "v6_segment_claim_type_mix": seg(V.segment_claim_type_mix),
         "v7_segment_age_mix": seg(V.segment_age_mix),
         "v8_headline_counts": lambda s, d: V.headline_counts(

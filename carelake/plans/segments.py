@@ -136,6 +136,13 @@ def member_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
     )
 
 
+def segment_claims(claims: DataFrame, segment: str = SEGMENT_HIGH, bands: int | None = None) -> DataFrame:
+    """PAID claims of the members in ``segment`` (a left-semi join on the
+    member ids: claims are filtered, never widened or duplicated)."""
+    ids = member_segments(claims, bands).filter(F.col("segment") == segment).select("member_id")
+    return _paid(claims).join(ids, "member_id", "left_semi")
+
+
 def cost_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
     """Per segment: members, claims, average paid per claim, total paid.
 

@@ -22,7 +22,9 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return [c.strip() for c in first[0][0].split(",")]
 
 
-def read_raw_csv(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, path: str, check_header: bool = True, with_source: bool = False
+) -> DataFrame:
     """All-text scan: nothing is coerced before validation.
 
     The header is checked first: a missing required column aborts before any
@@ -44,6 +46,9 @@ def read_raw_csv(spark: SparkSession, path: str, check_header: bool = True) -> D
         # a different layout: take the file's own column names, all as text
         df = reader.option("inferSchema", "false").csv(path)
     require_columns(df)
+    if with_source:
+        # a distributed CSV has no stable row position: keep the file instead
+        df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 
 

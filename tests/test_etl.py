@@ -22,6 +22,7 @@ def test_run_etl(spark, data_path, tmp_path):
     c = res.counts
     assert (c["rows_raw"], c["rows_valid"], c["rows_invalid"], c["error_count"]) == (33, 18, 15, 18)
     assert c["anomalies_found"] == 2  # C10 and D18
+    assert c["observed"]["rows_raw"] == 33 and c["observed"]["rows_valid"] == 18
     curated = spark.read.parquet(res.curated_path)
     assert curated.count() == 18 and len(curated.columns) == 24
     paid = spark.read.parquet(res.paid_layer_path)
@@ -63,3 +64,11 @@ def test_streaming_landing(spark, data_path, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(paths.claims_dir).count() == 18
     assert spark.read.parquet(paths.errors_dir).count() == 18
+
+
+def test_error_rows_carry_source_file(spark, data_path):
+    from carelake.operators.quality import check, validation_errors
+
+    raw = read_raw_csv(spark, data_path("claims_defects.csv"), with_source=True)
+    files = {r.source_file for r in validation_errors(check(raw)).collect()}
+    assert len(files) == 1 and files.pop().endswith("claims_defects.csv")
