@@ -42,10 +42,17 @@ def global_running(
     bands: int | None = None,
     rank_col: str = "rank",
     running_col: str = "running",
+    with_totals: bool = False,
 ) -> DataFrame:
     """Add ``rank_col`` (1-based position) and ``running_col`` (sum of
     ``value`` over all rows up to and including this one) in the order
-    (value desc|asc, key asc)."""
+    (value desc|asc, key asc). ``with_totals`` also adds ``total_rows`` and
+    ``total_sum`` (the row count and sum of ``value`` over all rows).
+
+    Band totals and grand totals are derived from the same windowed rows, so
+    the range exchange is computed once and every row's band is the band its
+    totals were counted in.
+    """
     nb = bands or default_bands(df)
     order = _order(value, key, descending)
     banded = df.repartitionByRange(nb, *order).withColumn(BAND, F.spark_partition_id())
@@ -54,22 +61,27 @@ def global_running(
     local = banded.withColumn("_band_rn", F.row_number().over(w)).withColumn(
         "_band_cum", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    per_band = banded.groupBy(BAND).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s")
+    per_band = local.groupBy(BAND).agg(
+        F.max("_band_rn").alias("_n"), F.max_by("_band_cum", "_band_rn").alias("_s")
     )
+    # at most ``nb`` rows: the windows below and the broadcast are bounded by
+    # the band count, not by the data
     before = Window.orderBy(BAND).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
     offsets = per_band.select(
         BAND,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_sum_before"),
+        F.sum("_n").over(everything).alias("total_rows"),
+        F.sum("_s").over(everything).alias("total_sum"),
     )
-    # at most ``nb`` rows: the broadcast is bounded by the band count
-    return (
+    out = (
         local.join(F.broadcast(offsets), BAND, "left")
         .withColumn(rank_col, F.col("_rows_before") + F.col("_band_rn"))
         .withColumn(running_col, F.col("_sum_before") + F.col("_band_cum"))
         .drop(BAND, "_band_rn", "_band_cum", "_rows_before", "_sum_before")
     )
+    return out if with_totals else out.drop("total_rows", "total_sum")
 
 
 def plain_running(
@@ -92,18 +104,17 @@ def exact_median(df: DataFrame, value: str, key: str, bands: int | None = None)
 
     The two middle positions are found with ``global_running`` ranks, so no
     task ever holds all values; for an even count the two middle values are
-    averaged (as pandas and SQL MEDIAN do). Null values are ignored.
+    averaged (as pandas and SQL MEDIAN do). Null values are ignored; no
+    values give a null median.
     """
     vals = df.filter(F.col(value).isNotNull()).select(key, value)
-    ranked = global_running(vals, value, key, descending=False, bands=bands, running_col="_r")
-    n = vals.agg(F.count(F.lit(1)).alias("_n"))
-    lo = F.floor((F.col("_n") - 1) / 2) + 1
-    hi = F.floor(F.col("_n") / 2) + 1
-    picked = ranked.crossJoin(F.broadcast(n)).filter((F.col("rank") == lo) | (F.col("rank") == hi))
-    return picked.agg(
-        # lo == hi for odd counts: the one value counted twice, halved
-        (
-            (F.sum(F.col(value)) + F.when(F.count(F.lit(1)) == 1, F.sum(F.col(value))).otherwise(0))
-            / F.lit(2)
-        ).alias("median")
+    ranked = global_running(
+        vals, value, key, descending=False, bands=bands, running_col="_r", with_totals=True
     )
+    n = F.col("total_rows")
+    lo = F.floor((n - 1) / 2) + 1
+    hi = F.floor(n / 2) + 1
+    picked = ranked.filter((F.col("rank") == lo) | (F.col("rank") == hi))
+    # lo == hi for odd counts: the one value counts twice, then halved
+    weight = F.when(lo == hi, F.lit(2)).otherwise(F.lit(1))
+    return picked.agg((F.sum(F.col(value) * weight) / F.lit(2)).alias("median"))

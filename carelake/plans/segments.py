@@ -58,20 +58,19 @@ def pareto_curve(
     Percentages are rounded HALF_UP to 4 decimals.
     """
     spend = member_spend(claims).select("member_id", "member_paid")
-    ranked = global_running(spend, "member_paid", "member_id", True, bands, "spend_rank", "_cum")
-    totals = spend.agg(F.count(F.lit(1)).alias("_n"), F.sum("member_paid").alias("_total"))
-    cutoff = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(fraction))).cast("long")
-    # ``totals`` is one row: a bounded broadcast
-    return ranked.crossJoin(F.broadcast(totals)).select(
+    ranked = global_running(
+        spend, "member_paid", "member_id", True, bands, "spend_rank", "_cum", with_totals=True
+    )
+    n, total = F.col("total_rows"), F.col("total_sum")
+    cutoff = F.greatest(F.lit(1), F.floor(n * F.lit(fraction))).cast("long")
+    return ranked.select(
         "member_id",
         F.round("member_paid", 2).cast("double").alias("total_paid"),
         F.col("spend_rank").cast("long").alias("spend_rank"),
-        F.when(F.col("_n") <= 1, F.lit(0.0))
-        .otherwise(exact_ratio(F.col("spend_rank") - 1, F.col("_n") - 1, 4, 100))
+        F.when(n <= 1, F.lit(0.0))
+        .otherwise(exact_ratio(F.col("spend_rank") - 1, n - 1, 4, 100))
         .alias("member_pct"),
-        exact_ratio(F.col("_cum"), F.col("_total"), 4, 100, MONEY_UNIT, MONEY_UNIT).alias(
-            "cum_pct"
-        ),
+        exact_ratio(F.col("_cum"), total, 4, 100, MONEY_UNIT, MONEY_UNIT).alias("cum_pct"),
         (F.col("spend_rank") <= cutoff).alias("is_top"),
     )
 
@@ -81,18 +80,17 @@ def top_share(claims: DataFrame, fraction: float = TOP_FRACTION, bands: int | No
     """Members, top-group size max(1, int(fraction * n)) and its % of spend:
     the running sum at the cutoff rank over the total."""
     spend = member_spend(claims).select("member_id", "member_paid")
-    ranked = global_running(spend, "member_paid", "member_id", True, bands, "spend_rank", "_cum")
-    totals = spend.agg(F.count(F.lit(1)).alias("_n"), F.sum("member_paid").alias("_total"))
-    cutoff = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(fraction))).cast("long")
-    at_cut = ranked.crossJoin(F.broadcast(totals)).filter(F.col("spend_rank") == cutoff)
-    return at_cut.select(
-        F.col("_n").alias("members"),
+    ranked = global_running(
+        spend, "member_paid", "member_id", True, bands, "spend_rank", "_cum", with_totals=True
+    )
+    n, total = F.col("total_rows"), F.col("total_sum")
+    cutoff = F.greatest(F.lit(1), F.floor(n * F.lit(fraction))).cast("long")
+    return ranked.filter(F.col("spend_rank") == cutoff).select(
+        n.alias("members"),
         cutoff.alias("top_members"),
         F.round("_cum", 2).cast("double").alias("top_paid"),
-        F.round("_total", 2).cast("double").alias("total_paid"),
-        exact_ratio(F.col("_cum"), F.col("_total"), 4, 100, MONEY_UNIT, MONEY_UNIT).alias(
-            "top_pct"
-        ),
+        F.round(total, 2).cast("double").alias("total_paid"),
+        exact_ratio(F.col("_cum"), total, 4, 100, MONEY_UNIT, MONEY_UNIT).alias("top_pct"),
     )
 
 
