@@ -49,17 +49,31 @@ def require_columns(df: DataFrame, required: Iterable[str] = REQUIRED_FIELDS) ->
         raise SchemaError(f"Missing required columns: {missing}")
 
 
+def _sql_list(values: Iterable[str]) -> str:
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+def _missing_to_null(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> dict[str, Column]:
+    """Per column: the value, or null when it is a missing-value token.
+
+    Written as SQL expression text: one JVM call per column instead of one
+    per token literal.
+    """
+    toks = _sql_list(tokens)
+    types = dict(df.dtypes)
+    return {
+        c: (
+            F.expr(f"CASE WHEN `{c}` IN ({toks}) THEN CAST(NULL AS STRING) ELSE `{c}` END")
+            if types[c] == "string"
+            else F.col(c)
+        )
+        for c in df.columns
+    }
+
+
 def normalize_missing(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """Read the usual missing-value tokens ('NA', 'N/A', 'null', '' ...) as null."""
-    toks = list(tokens)
-    return df.select(
-        *[
-            F.when(F.col(c).isin(toks), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-            if dict(df.dtypes)[c] == "string"
-            else F.col(c)
-            for c in df.columns
-        ]
-    )
+    return df.select(*[e.alias(c) for c, e in _missing_to_null(df, tokens).items()])
 
 
 # parsed copies of the typed fields, computed once and reused by the checks
@@ -68,56 +82,51 @@ PARSED = {"billed_amount": "_billed", "paid_amount": "_paid", "service_date": "_
 INVALID = "_invalid"
 
 
-def _shown(field: str) -> Column:
-    return F.coalesce(F.col(field).cast("string"), F.lit(MISSING_TEXT))
-
-
-def rules() -> list[tuple[Column, str, str, Column]]:
-    """(failure condition, rule, field, message) for every check, in order."""
-    out = [(F.col(c).isNull(), "NULL_VALUE", c, F.lit(f"Null in {c}")) for c in REQUIRED_FIELDS]
+def rules() -> list[tuple[str, str, str, str]]:
+    """(failure condition, rule, field, message) for every check, in order,
+    as SQL expressions over the normalised row."""
+    shown = lambda f: f"coalesce(CAST(`{f}` AS STRING), '{MISSING_TEXT}')"
+    out = [(f"`{c}` IS NULL", "NULL_VALUE", c, f"'Null in {c}'") for c in REQUIRED_FIELDS]
     out.append(
         (
-            ~F.coalesce(F.col("claim_type").isin(CLAIM_TYPES), F.lit(False)),
+            f"NOT coalesce(claim_type IN ({_sql_list(CLAIM_TYPES)}), false)",
             "UNKNOWN_CLAIM_TYPE",
             "claim_type",
-            F.concat(F.lit("Unknown claim_type: "), _shown("claim_type")),
+            f"concat('Unknown claim_type: ', {shown('claim_type')})",
         )
     )
     out.append(
         (
-            ~F.coalesce(F.col("claim_status").isin(CLAIM_STATUSES), F.lit(False)),
+            f"NOT coalesce(claim_status IN ({_sql_list(CLAIM_STATUSES)}), false)",
             "UNKNOWN_CLAIM_STATUS",
             "claim_status",
-            F.concat(F.lit("Unknown claim_status: "), _shown("claim_status")),
+            f"concat('Unknown claim_status: ', {shown('claim_status')})",
         )
     )
     for c in AMOUNT_FIELDS:
-        out.append((F.col(PARSED[c]).isNull(), "NON_NUMERIC", c, F.lit(f"Non-numeric {c}")))
+        out.append((f"`{PARSED[c]}` IS NULL", "NON_NUMERIC", c, f"'Non-numeric {c}'"))
     out.append(
         (
-            F.col("service_date").isNotNull() & F.col(PARSED["service_date"]).isNull(),
+            f"service_date IS NOT NULL AND `{PARSED['service_date']}` IS NULL",
             "BAD_DATE",
             "service_date",
-            F.concat(F.lit("Bad date in service_date: "), F.col("service_date")),
+            "concat('Bad date in service_date: ', service_date)",
         )
     )
     return out
 
 
-def _error_array() -> Column:
-    items = [
-        F.when(
-            cond,
-            F.struct(
-                F.lit(rule).alias("rule"),
-                F.lit(field).alias("field"),
-                F.col(field).cast("string").alias("bad_value"),
-                msg.alias("error"),
-            ),
-        )
-        for cond, rule, field, msg in rules()
-    ]
-    return F.filter(F.array(*items), lambda e: e.isNotNull())
+def _invalid_expr(checks) -> Column:
+    return F.expr(" OR ".join(f"({cond})" for cond, *_ in checks))
+
+
+def _error_array(checks) -> Column:
+    items = ", ".join(
+        f"CASE WHEN {cond} THEN named_struct('rule', '{rule}', 'field', '{field}', "
+        f"'bad_value', CAST(`{field}` AS STRING), 'error', {msg}) END"
+        for cond, rule, field, msg in checks
+    )
+    return F.expr(f"filter(array({items}), e -> e IS NOT NULL)")
 
 
 def check(raw: DataFrame) -> DataFrame:
@@ -125,20 +134,21 @@ def check(raw: DataFrame) -> DataFrame:
 
     ``_invalid`` is one boolean OR of the rule conditions, enough to split
     valid from invalid rows. The ``_errors`` array is only evaluated where it
-    is used (error log, error count), i.e. on invalid rows.
+    is used (error log, error count), i.e. on invalid rows. Built as two
+    projections (normalise + parse, then checks).
     """
     require_columns(raw)
-    df = normalize_missing(raw).withColumns(
-        {
-            PARSED["billed_amount"]: as_money("billed_amount"),
-            PARSED["paid_amount"]: as_money("paid_amount"),
-            PARSED["service_date"]: parse_date(F.col("service_date")),
-        }
+    norm = _missing_to_null(raw)
+    normalized = raw.select(
+        *[e.alias(c) for c, e in norm.items()],
+        as_money(norm["billed_amount"]).alias(PARSED["billed_amount"]),
+        as_money(norm["paid_amount"]).alias(PARSED["paid_amount"]),
+        parse_date(norm["service_date"]).alias(PARSED["service_date"]),
+    )
+    checks = rules()
+    return normalized.select(
+        "*", _invalid_expr(checks).alias(INVALID), _error_array(checks).alias(ERRORS)
     )
-    invalid = None
-    for cond, *_ in rules():
-        invalid = cond if invalid is None else invalid | cond
-    return df.withColumn(INVALID, invalid).withColumn(ERRORS, _error_array())
 
 
 def is_valid() -> Column:
