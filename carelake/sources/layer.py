@@ -35,6 +35,9 @@ from carelake.sources.tables import claims_with_provenance
 SOURCE_TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 PROVENANCE = ["source_orderkey", "source_linenumber"]
 LAYER_DIR = "carelake-claims-layer"
+# bump when the mapping, the layout or the raw-feed defects change: the
+# version is part of the fingerprint, so an older layer is never reused
+LAYER_VERSION = "3"
 
 
 def _local_path(uri: str) -> str | None:
@@ -48,7 +51,7 @@ def _local_path(uri: str) -> str | None:
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Hash of the source files' paths (and sizes / mtimes when local)."""
-    parts = [sf_dir.rstrip("/")]
+    parts = [LAYER_VERSION, sf_dir.rstrip("/")]
     for t in SOURCE_TABLES:
         for f in sorted(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").inputFiles()):
             lp = _local_path(f)
@@ -74,25 +77,30 @@ def build_claims_layer(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
-_KNOWN: dict[tuple[int, str], str] = {}
+_KNOWN: dict[tuple[int, str], DataFrame] = {}
 
 
 def claims_layer(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """The typed claims layer for ``sf_dir`` (built on first use)."""
+    """The typed claims layer for ``sf_dir`` (built on first use).
+
+    The DataFrame is kept per session, so later reports skip the file
+    listing; ``rebuild=True`` rewrites the layer and refreshes it.
+    """
     key = (id(spark), sf_dir)
-    path = _KNOWN.get(key) if not rebuild else None
-    if path is None:
-        path = layer_path(spark, sf_dir)
+    if not rebuild and key in _KNOWN:
+        return _KNOWN[key]
+    path = layer_path(spark, sf_dir)
+    df = None
     if not rebuild:
         try:
             df = spark.read.parquet(path)
-            _KNOWN[key] = path
-            return df
         except AnalysisException:
-            pass
-    build_claims_layer(spark, sf_dir, path)
-    _KNOWN[key] = path
-    return spark.read.parquet(path)
+            df = None
+    if df is None:
+        build_claims_layer(spark, sf_dir, path)
+        df = spark.read.parquet(path)
+    _KNOWN[key] = df
+    return df
 
 
 RAW_FEED_DIR = "raw_feed_csv"
