@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.functions.money import count_where, pct
+from carelake.functions.money import count_where
 from carelake.functions.dates import month_label
 from carelake.plans.analytics import executive_metrics
 
@@ -252,5 +252,4 @@ __all__ = [
     "executive_summary_text",
     "explain_anomalies",
     "parse_classifications",
-    "pct",
 ]

@@ -18,7 +18,7 @@ from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
 from carelake.sources.files import read_raw_csv
 from carelake.sources.layer import claims_layer, layer_claims as claims, raw_feed
-from carelake.sources.tables import notes_from_typed, raw_from_typed
+from carelake.sources.tables import notes_from_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 

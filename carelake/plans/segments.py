@@ -242,5 +242,4 @@ __all__ = [
     "spend_by_claim_type",
     "top_share",
     "unit_cost_by_claim_type",
-    "MONEY_UNIT",
 ]

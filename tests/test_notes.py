@@ -1,7 +1,6 @@
 """Denial-note classification, JSON parsing, anomaly text."""
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from carelake.plans import notes as N
 from carelake.sources.tables import DENIAL_NOTE_TEXTS
