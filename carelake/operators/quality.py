@@ -1,9 +1,11 @@
 """Row validation: every failed check becomes one error record; nothing is
 dropped silently.
 
-``check(raw)`` adds an ``_errors`` array (one struct per failed check) in a
-single projection, so valid rows, invalid rows, the exploded error log and the
-counts all come from the same pass. The checks, in reporting order:
+``check(raw)`` normalises and parses the row and adds one ``_invalid`` flag,
+so valid rows, invalid rows, the exploded error log and the counts all come
+from the same checked rows. ``errors()`` is the array of failed checks (one
+struct per check), evaluated only where consumed. The checks, in reporting
+order:
 
     NULL_VALUE            a required field is null           "Null in <field>"
     UNKNOWN_CLAIM_TYPE    claim_type not in the code list    "Unknown claim_type: <v>"
@@ -33,7 +35,6 @@ from carelake.schema import (
     REQUIRED_FIELDS,
 )
 
-ERRORS = "_errors"
 
 # fixed values: how a missing value is printed inside a message
 MISSING_TEXT = "nan"
@@ -130,12 +131,9 @@ def _error_array(checks) -> Column:
 
 
 def check(raw: DataFrame) -> DataFrame:
-    """Raw (text) claims + ``_invalid`` flag + ``_errors`` array.
-
-    ``_invalid`` is one boolean OR of the rule conditions, enough to split
-    valid from invalid rows. The ``_errors`` array is only evaluated where it
-    is used (error log, error count), i.e. on invalid rows. Built as two
-    projections (normalise + parse, then checks).
+    """Raw (text) claims, normalised, with parsed amounts / date and the
+    ``_invalid`` flag (one boolean OR of the rule conditions). Two
+    projections; the per-check error records come from ``errors()``.
     """
     require_columns(raw)
     norm = _missing_to_null(raw)
@@ -145,10 +143,17 @@ def check(raw: DataFrame) -> DataFrame:
         as_money(norm["paid_amount"]).alias(PARSED["paid_amount"]),
         parse_date(norm["service_date"]).alias(PARSED["service_date"]),
     )
-    checks = rules()
-    return normalized.select(
-        "*", _invalid_expr(checks).alias(INVALID), _error_array(checks).alias(ERRORS)
-    )
+    return normalized.select("*", _invalid_expr(rules()).alias(INVALID))
+
+
+def errors() -> Column:
+    """The array of failed checks of a checked row (empty when valid).
+
+    An expression, not a stored column: it is evaluated only where it is
+    consumed (error log, error counts), i.e. on invalid rows, and a
+    checkpoint of the checked rows never materialises it.
+    """
+    return _error_array(rules())
 
 
 def is_valid() -> Column:
@@ -182,15 +187,15 @@ def invalid_rows(checked: DataFrame) -> DataFrame:
     """Rows with at least one error, as text, with their error count."""
     return (
         checked.filter(~is_valid())
-        .withColumn("error_count", F.size(ERRORS))
-        .drop(ERRORS, INVALID, *PARSED.values())
+        .withColumn("error_count", F.size(errors()))
+        .drop(INVALID, *PARSED.values())
     )
 
 
 def validation_errors(checked: DataFrame) -> DataFrame:
     """One row per (claim, failed check): claim_id, rule, field, bad_value,
     error, plus source_file when the raw scan carried it."""
-    cols = [F.col("claim_id"), F.inline(F.col(ERRORS))]
+    cols = [F.col("claim_id"), F.inline(errors())]
     if "source_file" in checked.columns:
         cols.append(F.col("source_file"))
     return checked.filter(~is_valid()).select(*cols)
@@ -214,7 +219,7 @@ def observe_counts(checked: DataFrame, name: str = "load_counts") -> tuple[DataF
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
-        F.sum(F.when(~is_valid(), F.size(ERRORS))).alias("errors"),
+        F.sum(F.when(~is_valid(), F.size(errors()))).alias("errors"),
     )
     return observed, obs
 
@@ -225,7 +230,7 @@ def quality_counts(checked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
-        F.coalesce(F.sum(F.when(~is_valid(), F.size(ERRORS))), F.lit(0))
+        F.coalesce(F.sum(F.when(~is_valid(), F.size(errors()))), F.lit(0))
         .cast("long")
         .alias("error_count"),
     )

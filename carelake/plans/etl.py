@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from carelake.functions.money import MONEY_UNIT, count_where, money_per, pct, sum_money
 from carelake.operators.quality import (
-    ERRORS,
     PARSED,
     check,
+    errors,
     is_valid,
     observe_counts,
     valid_claims,
@@ -47,7 +47,7 @@ def load_summary(checked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(valid).alias("rows_valid"),
         F.count_if(~valid).alias("rows_invalid"),
-        F.coalesce(F.sum(F.when(~valid, F.size(ERRORS))), F.lit(0)).cast("long").alias("error_count"),
+        F.coalesce(F.sum(F.when(~valid, F.size(errors()))), F.lit(0)).cast("long").alias("error_count"),
         count_where(denied & (F.col(PARSED["paid_amount"]) > 0)).alias("anomalies_found"),
         sum_money(F.when(valid, F.col(PARSED["billed_amount"]))).alias("total_billed"),
         sum_money(F.when(valid, F.col(PARSED["paid_amount"]))).alias("total_paid"),
