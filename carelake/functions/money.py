@@ -32,12 +32,32 @@ def round_money(c: Column, scale: int = 2) -> Column:
 
 
 def sum_money(c: Column | str, scale: int = 2) -> Column:
-    return round_money(F.sum(_col(c)), scale)
+    if isinstance(c, str):
+        return F.expr(f"CAST(round(sum(`{c}`), {scale}) AS DOUBLE)")
+    return round_money(F.sum(c), scale)
+
+
+def ratio_sql(
+    num: str, den: str, scale: int = 2, factor: int = 1, num_unit: int = 1, den_unit: int = 1
+) -> str:
+    """SQL text of ``exact_ratio`` for SQL operands (e.g. ``sum(paid_amount)``).
+
+    One expression string is one JVM call, where the Column form takes a few
+    dozen; results are identical.
+    """
+    f = (10**scale) * factor
+    n = f"CAST(({num}) * {num_unit} AS DECIMAL(38,0))"
+    d = f"CAST(({den}) * {den_unit} AS DECIMAL(38,0))"
+    q = f"((abs({n}) * {2 * f} + abs({d})) div (abs({d}) * 2))"
+    return (
+        f"CASE WHEN {d} = 0 THEN NULL WHEN ({n} < 0) <> ({d} < 0) "
+        f"THEN -{q} / {10**scale} ELSE {q} / {10**scale} END"
+    )
 
 
 def exact_ratio(
-    num: Column,
-    den: Column,
+    num: Column | str,
+    den: Column | str,
     scale: int = 2,
     factor: int = 1,
     num_unit: int = 1,
@@ -47,11 +67,16 @@ def exact_ratio(
 
     ``num * num_unit`` and ``den * den_unit`` must be whole numbers (counts,
     or money times MONEY_UNIT). The quotient is formed by integer division of
-    DECIMAL(38,0) values, so it is exact at any data size.
+    DECIMAL(38,0) values, so it is exact at any data size. Operands may be
+    Columns or SQL text.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(ratio_sql(num, den, scale, factor, num_unit, den_unit))
+    num_c = F.expr(num) if isinstance(num, str) else num
+    den_c = F.expr(den) if isinstance(den, str) else den
     f = (10**scale) * factor
-    n = (num * F.lit(num_unit)).cast("decimal(38,0)")
-    d = (den * F.lit(den_unit)).cast("decimal(38,0)")
+    n = (num_c * F.lit(num_unit)).cast("decimal(38,0)")
+    d = (den_c * F.lit(den_unit)).cast("decimal(38,0)")
     an, ad = F.abs(n), F.abs(d)
     q = F.call_function("div", an * F.lit(2 * f) + ad, ad * F.lit(2))
     signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
@@ -60,26 +85,39 @@ def exact_ratio(
 
 def avg_money(c: Column | str, scale: int = 2) -> Column:
     """AVG of a money column, HALF_UP to ``scale`` decimals, as DOUBLE."""
-    col = _col(c)
-    return exact_ratio(F.sum(col), F.count(col), scale, num_unit=MONEY_UNIT, den_unit=MONEY_UNIT)
+    if isinstance(c, str):
+        return exact_ratio(f"sum(`{c}`)", f"count(`{c}`)", scale, 1, MONEY_UNIT, MONEY_UNIT)
+    return exact_ratio(F.sum(c), F.count(c), scale, num_unit=MONEY_UNIT, den_unit=MONEY_UNIT)
 
 
-def money_per(total: Column, count: Column, scale: int = 2) -> Column:
+def money_per(total: Column | str, count: Column | str, scale: int = 2) -> Column:
     """A money total divided by a count (e.g. paid per member)."""
     return exact_ratio(total, count, scale, num_unit=MONEY_UNIT, den_unit=MONEY_UNIT)
 
 
-def pct(numerator: Column, denominator: Column, scale: int = 2, unit: int = 1) -> Column:
+def pct(
+    numerator: Column | str, denominator: Column | str, scale: int = 2, unit: int = 1
+) -> Column:
     """100 * num / den, HALF_UP to ``scale`` decimals; null if den is 0."""
     return exact_ratio(numerator, denominator, scale, 100, unit, unit)
 
 
+def sum_money_sql(expr: str, scale: int = 2) -> Column:
+    """Rounded DOUBLE sum of a SQL money expression."""
+    return F.expr(f"CAST(round(sum({expr}), {scale}) AS DOUBLE)")
+
+
+def avg_money_sql(expr: str, scale: int = 2) -> Column:
+    """Exact HALF_UP average of a SQL money expression (nulls ignored)."""
+    return exact_ratio(f"sum({expr})", f"count({expr})", scale, 1, MONEY_UNIT, MONEY_UNIT)
+
+
 def count_where(predicate: Column) -> Column:
     """COUNT(CASE WHEN predicate THEN 1 END): rows where it is true."""
     return F.count(F.when(predicate, F.lit(1)))
 
 
-def payment_rate(paid: Column, billed: Column) -> Column:
+def payment_rate(paid: str = "paid_amount", billed: str = "billed_amount") -> Column:
     """paid / billed to 4 dp when billed > 0, else 0.0 (DOUBLE)."""
-    rate = exact_ratio(paid, billed, 4, num_unit=MONEY_UNIT, den_unit=MONEY_UNIT)
-    return F.when(billed > 0, rate).otherwise(F.lit(0.0))
+    rate = ratio_sql(f"`{paid}`", f"`{billed}`", 4, 1, MONEY_UNIT, MONEY_UNIT)
+    return F.expr(f"CASE WHEN `{billed}` > 0 THEN {rate} ELSE CAST(0.0 AS DOUBLE) END")

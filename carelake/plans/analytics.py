@@ -21,10 +21,12 @@ from carelake.functions.dates import month_label
 from carelake.functions.money import (
     MONEY_UNIT,
     avg_money,
+    avg_money_sql,
     count_where,
     money_per,
     pct,
     sum_money,
+    sum_money_sql,
 )
 from carelake.operators.readmission import readmission_pairs as _readmission_pairs
 from carelake.schema import ANOMALY_LABEL
@@ -46,6 +48,9 @@ def _paid_only(claims: DataFrame) -> DataFrame:
     return claims.filter(_status("PAID"))
 
 
+DENIED_N = "count_if(claim_status = 'DENIED')"
+
+
 # Q1 ---------------------------------------------------------------------------
 @needs("claim_status", "billed_amount", "paid_amount")
 def baseline_kpis(claims: DataFrame) -> DataFrame:
@@ -56,10 +61,10 @@ def baseline_kpis(claims: DataFrame) -> DataFrame:
         total.alias("total_claims"),
         count_where(_status("PAID")).alias("paid_claims"),
         denied.alias("denied_claims"),
-        pct(denied, total).alias("denial_rate_pct"),
+        pct(DENIED_N, "count(1)").alias("denial_rate_pct"),
         sum_money("billed_amount").alias("total_billed"),
         sum_money("paid_amount").alias("total_paid"),
-        pct(F.sum("paid_amount"), F.sum("billed_amount"), unit=MONEY_UNIT).alias(
+        pct("sum(paid_amount)", "sum(billed_amount)", unit=MONEY_UNIT).alias(
             "avg_payment_rate_pct"
         ),
     )
@@ -93,7 +98,7 @@ def spend_by_state_plan(claims: DataFrame) -> DataFrame:
             members.alias("unique_members"),
             F.count(F.lit(1)).alias("total_claims"),
             sum_money("paid_amount").alias("total_paid"),
-            money_per(F.sum("paid_amount"), members).alias("pmpm_proxy"),
+            money_per("sum(paid_amount)", "count(DISTINCT member_id)").alias("pmpm_proxy"),
         )
         .orderBy(F.desc("total_paid"), "state_code", "plan_id")
     )
@@ -195,7 +200,9 @@ def behavioral_share_of_state(claims: DataFrame) -> DataFrame:
         .agg(
             bh.alias("bh_claims"),
             F.count(F.lit(1)).alias("paid_claims"),
-            pct(bh, F.count(F.lit(1))).alias("bh_pct_of_state_claims"),
+            pct("count_if(provider_type = 'BEHAVIORAL')", "count(1)").alias(
+                "bh_pct_of_state_claims"
+            ),
         )
         .orderBy(F.desc("bh_pct_of_state_claims"), "state_code")
     )
@@ -212,7 +219,7 @@ def denial_rate_by_provider(claims: DataFrame) -> DataFrame:
         .agg(
             total.alias("total_claims"),
             denied.alias("denied"),
-            pct(denied, total).alias("denial_rate_pct"),
+            pct(DENIED_N, "count(1)").alias("denial_rate_pct"),
             F.round(F.sum("billed_amount") - F.sum("paid_amount"), 2)
             .cast("double")
             .alias("total_underpaid"),
@@ -300,17 +307,19 @@ def executive_metrics(claims: DataFrame) -> DataFrame:
     """The eight metrics behind the executive summary, in one pass."""
     total = F.count(F.lit(1))
     denied = count_where(_status("DENIED"))
-    is_ip = F.col("claim_type") == "IP"
-    is_bh = F.col("provider_type") == "BEHAVIORAL"
     return claims.agg(
         total.alias("total_claims"),
         count_where(_status("PAID")).alias("paid_claims"),
         denied.alias("denied_claims"),
-        pct(denied, total).alias("denial_rate_pct"),
+        pct(DENIED_N, "count(1)").alias("denial_rate_pct"),
         sum_money("billed_amount").alias("total_billed"),
         sum_money("paid_amount").alias("total_paid"),
-        avg_money(F.when(is_ip, F.col("paid_amount"))).alias("inpatient_avg_paid"),
-        sum_money(F.when(is_bh, F.col("paid_amount"))).alias("behavioral_health_spend"),
+        avg_money_sql("CASE WHEN claim_type = 'IP' THEN paid_amount END").alias(
+            "inpatient_avg_paid"
+        ),
+        sum_money_sql("CASE WHEN provider_type = 'BEHAVIORAL' THEN paid_amount END").alias(
+            "behavioral_health_spend"
+        ),
     )
 
 

@@ -18,8 +18,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.functions.money import MONEY_UNIT, count_where, money_per, pct, sum_money
+from carelake.functions.money import (
+    MONEY_UNIT,
+    count_where,
+    money_per,
+    pct,
+    sum_money,
+    sum_money_sql,
+)
 from carelake.operators.quality import (
+    INVALID,
     PARSED,
     check,
     errors,
@@ -49,9 +57,15 @@ def load_summary(checked: DataFrame) -> DataFrame:
         F.count_if(~valid).alias("rows_invalid"),
         F.coalesce(F.sum(F.when(~valid, F.size(errors()))), F.lit(0)).cast("long").alias("error_count"),
         count_where(denied & (F.col(PARSED["paid_amount"]) > 0)).alias("anomalies_found"),
-        sum_money(F.when(valid, F.col(PARSED["billed_amount"]))).alias("total_billed"),
-        sum_money(F.when(valid, F.col(PARSED["paid_amount"]))).alias("total_paid"),
-        pct(count_where(denied), F.count_if(valid)).alias("denial_rate_pct"),
+        sum_money_sql(f"CASE WHEN NOT {INVALID} THEN {PARSED['billed_amount']} END").alias(
+            "total_billed"
+        ),
+        sum_money_sql(f"CASE WHEN NOT {INVALID} THEN {PARSED['paid_amount']} END").alias(
+            "total_paid"
+        ),
+        pct(
+            f"count_if(NOT {INVALID} AND claim_status = 'DENIED')", f"count_if(NOT {INVALID})"
+        ).alias("denial_rate_pct"),
     )
 
 
@@ -102,11 +116,11 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
         total.alias("total_claims"),
         F.sum("paid_n").alias("paid_claims"),
         F.sum("denied_n").alias("denied_claims"),
-        pct(F.sum("denied_n"), total).alias("denial_rate_pct"),
+        pct("sum(denied_n)", "sum(n)").alias("denial_rate_pct"),
         sum_money("billed_s").alias("total_billed"),
         sum_money("paid_s").alias("total_paid"),
-        pct(F.sum("rate_s"), F.sum("rate_n"), unit=MONEY_UNIT).alias("mean_payment_rate_pct"),
-        money_per(F.sum("ip_s"), F.sum("ip_n")).alias("inpatient_avg_paid"),
+        pct("sum(rate_s)", "sum(rate_n)", unit=MONEY_UNIT).alias("mean_payment_rate_pct"),
+        money_per("sum(ip_s)", "sum(ip_n)").alias("inpatient_avg_paid"),
         sum_money("bh_s").alias("behavioral_health_spend"),
         F.sum("id_n").alias("claim_count"),
     )

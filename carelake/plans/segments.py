@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from carelake.functions.money import (
     MONEY_UNIT,
     avg_money,
-    count_where,
     exact_ratio,
     money_per,
     pct,
-    sum_money,
+    sum_money_sql,
 )
 from carelake.functions.hashing import md5_bucket
 from carelake.operators.ranking import exact_median, global_running
@@ -68,9 +67,9 @@ def pareto_curve(
         F.round("member_paid", 2).cast("double").alias("total_paid"),
         F.col("spend_rank").cast("long").alias("spend_rank"),
         F.when(n <= 1, F.lit(0.0))
-        .otherwise(exact_ratio(F.col("spend_rank") - 1, n - 1, 4, 100))
+        .otherwise(exact_ratio("spend_rank - 1", "total_rows - 1", 4, 100))
         .alias("member_pct"),
-        exact_ratio(F.col("_cum"), total, 4, 100, MONEY_UNIT, MONEY_UNIT).alias("cum_pct"),
+        exact_ratio("_cum", "total_sum", 4, 100, MONEY_UNIT, MONEY_UNIT).alias("cum_pct"),
         (F.col("spend_rank") <= cutoff).alias("is_top"),
     )
 
@@ -90,7 +89,7 @@ def top_share(claims: DataFrame, fraction: float = TOP_FRACTION, bands: int | No
         cutoff.alias("top_members"),
         F.round("_cum", 2).cast("double").alias("top_paid"),
         F.round(total, 2).cast("double").alias("total_paid"),
-        exact_ratio(F.col("_cum"), total, 4, 100, MONEY_UNIT, MONEY_UNIT).alias("top_pct"),
+        exact_ratio("_cum", "total_sum", 4, 100, MONEY_UNIT, MONEY_UNIT).alias("top_pct"),
     )
 
 
@@ -153,7 +152,7 @@ def cost_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("members"),
             F.sum("claims").alias("claims"),
-            money_per(F.sum("member_paid"), F.sum("claims")).alias("avg_paid"),
+            money_per("sum(member_paid)", "sum(claims)").alias("avg_paid"),
             F.round(F.sum("member_paid"), 2).cast("double").alias("total_paid"),
         )
         .orderBy("segment")
@@ -168,11 +167,11 @@ def _pivot_shares(counts: DataFrame, column: str, values: list[str], names: list
         .agg(F.sum("n"))
         .na.fill(0, subset=values)
     )
-    total: Column = sum((F.col(f"`{v}`") for v in values), F.lit(0))
+    total = "(" + " + ".join(f"`{v}`" for v in values) + ")"
     return wide.select(
         "segment",
-        total.alias("claims"),
-        *[pct(F.col(f"`{v}`"), total).alias(name) for v, name in zip(values, names)],
+        F.expr(total).alias("claims"),
+        *[pct(f"`{v}`", total).alias(name) for v, name in zip(values, names)],
     ).orderBy("segment")
 
 
@@ -226,8 +225,8 @@ def headline_counts(claims: DataFrame) -> DataFrame:
     return claims.agg(
         F.count_distinct("member_id").alias("members"),
         total.alias("total_claims"),
-        sum_money(F.when(F.col("claim_status") == "PAID", F.col("paid_amount"))).alias("paid_spend"),
-        pct(count_where(F.col("claim_status") == "DENIED"), total).alias("denial_rate_pct"),
+        sum_money_sql("CASE WHEN claim_status = 'PAID' THEN paid_amount END").alias("paid_spend"),
+        pct("count_if(claim_status = 'DENIED')", "count(1)").alias("denial_rate_pct"),
     )
 
 
