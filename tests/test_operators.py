@@ -71,3 +71,36 @@ def test_readmission_equals_bruteforce(spark):
     m = m[(m.claim_id_x != m.claim_id_y) & (m.gap > 0) & (m.gap <= 30)]
     want = sorted(zip(m.claim_id_x, m.claim_id_y, m.gap.astype(int)))
     assert got == want
+
+
+def test_hot_member_is_split_across_tasks(spark):
+    """One member holds a third of the rows: the window stage spreads them
+    over the (member, day) partitions, where a member-wide window puts them
+    all in one partition."""
+    df = _claims(spark, n=6000, seed=11)
+    saved = {
+        k: spark.conf.get(k)
+        for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    }
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        def hot_rows_per_partition(out):
+            tagged = out.select(
+                "member_id", "member_cumulative_paid", F.spark_partition_id().alias("p")
+            )
+            rows = (
+                tagged.groupBy("p")
+                .agg(F.count_if((F.col("member_id") == "HOT") & F.col("member_cumulative_paid").isNotNull()).alias("hot"))
+                .collect()
+            )
+            return max(r.hot for r in rows), sum(r.hot for r in rows)
+
+        split_max, hot_total = hot_rows_per_partition(member_windows(df))
+        plain_max, _ = hot_rows_per_partition(plain_member_windows(df))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert hot_total == 2000
+    assert plain_max == hot_total  # member-wide window: all in one task
+    assert split_max < hot_total / 4
