@@ -29,3 +29,14 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "member_cumulative_paid" in df.columns
+
+
+def test_raw_feed_exercises_every_rule(spark, small_dir):
+    from pyspark.sql import functions as F
+
+    errs = queries()["e2_validation_errors"](spark, small_dir)
+    rules = {r.rule for r in errs.select("rule").distinct().collect()}
+    assert rules == {"NULL_VALUE", "UNKNOWN_CLAIM_TYPE", "UNKNOWN_CLAIM_STATUS", "NON_NUMERIC", "BAD_DATE"}
+    # some rows carry two failed checks
+    per_row = errs.groupBy("claim_id").count().agg(F.max("count")).first()[0]
+    assert per_row >= 2
