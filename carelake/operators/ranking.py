@@ -51,11 +51,19 @@ def global_running(
 
     Band totals and grand totals are derived from the same windowed rows, so
     the range exchange is computed once and every row's band is the band its
-    totals were counted in.
+    totals were counted in. This relies on both consumers of the windowed
+    rows having the same input (only ``key`` and ``value``, projected here),
+    which makes their exchanges identical and reused: two separate range
+    exchanges sample with different seeds and could cut the bands
+    differently. The output holds ``key``, ``value`` and the new columns.
     """
     nb = bands or default_bands(df)
     order = _order(value, key, descending)
-    banded = df.repartitionByRange(nb, *order).withColumn(BAND, F.spark_partition_id())
+    banded = (
+        df.select(key, value)
+        .repartitionByRange(nb, *order)
+        .withColumn(BAND, F.spark_partition_id())
+    )
 
     w = Window.partitionBy(BAND).orderBy(*order)
     local = banded.withColumn("_band_rn", F.row_number().over(w)).withColumn(

@@ -221,11 +221,13 @@ def run_etl(
     """
     ensure_checkpoint_dir(spark)
     ts = run_timestamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-    checked = check(raw).checkpoint(eager=True)
+    # raw / valid / invalid counts are filled in by the checkpoint job itself
+    # (observed there, not downstream: a range repartition's sampling job
+    # would execute an observed node a second time)
+    observed, obs = observe_counts(check(raw))
+    checked = observed.checkpoint(eager=True)
 
-    # raw / valid / invalid counts are filled in by the curated write itself
-    observed, obs = observe_counts(checked)
-    curated = transform(valid_claims(observed))
+    curated = transform(valid_claims(checked))
     out = output_dir.rstrip("/")
     curated_path = f"{out}/curated_claims"
     sinks.write_table(curated, curated_path)

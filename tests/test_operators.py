@@ -33,11 +33,31 @@ def _claims(spark, n=3000, seed=7):
 
 
 def test_member_windows_equal_plain(spark):
-    df = _claims(spark)
     cols = ["claim_id", "member_cumulative_paid", "days_since_last_claim"]
-    a = sorted(tuple(r) for r in member_windows(df).select(*cols).collect())
-    b = sorted(tuple(r) for r in plain_member_windows(df).select(*cols).collect())
-    assert a == b
+    for n, seed in [(3000, 7), (3000, 3), (500, 1), (5, 2)]:
+        df = _claims(spark, n=n, seed=seed)
+        want = sorted(tuple(r) for r in plain_member_windows(df).select(*cols).collect())
+        assert sorted(tuple(r) for r in member_windows(df).select(*cols).collect()) == want
+
+
+def test_member_windows_hot_member_day(spark):
+    """A third of all rows belong to one member on one day (exact, though
+    that day shares one task)."""
+    rows = [
+        (
+            f"C{i:05d}",
+            "HOT" if i % 3 == 0 else f"M{i % 50}",
+            dt.date(2022, 1, 1) + dt.timedelta(days=0 if i % 3 == 0 else i % 30),
+            float(i % 7),
+        )
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(
+        rows, "claim_id string, member_id string, service_date date, paid_amount double"
+    ).withColumn("paid_amount", F.col("paid_amount").cast("decimal(18,4)"))
+    cols = ["claim_id", "member_cumulative_paid", "days_since_last_claim"]
+    want = sorted(tuple(r) for r in plain_member_windows(df).select(*cols).collect())
+    assert sorted(tuple(r) for r in member_windows(df).select(*cols).collect()) == want
 
 
 def test_global_running_with_ties(spark):
@@ -74,9 +94,8 @@ def test_readmission_equals_bruteforce(spark):
 
 
 def test_hot_member_is_split_across_tasks(spark):
-    """One member holds a third of the rows: the window stage spreads them
-    over the (member, day) partitions, where a member-wide window puts them
-    all in one partition."""
+    """One member holds a third of the rows: the day-level form spreads them
+    over many window partitions; a member-wide window puts them in one."""
     df = _claims(spark, n=6000, seed=11)
     saved = {
         k: spark.conf.get(k)
@@ -89,18 +108,15 @@ def test_hot_member_is_split_across_tasks(spark):
             tagged = out.select(
                 "member_id", "member_cumulative_paid", F.spark_partition_id().alias("p")
             )
-            rows = (
-                tagged.groupBy("p")
-                .agg(F.count_if((F.col("member_id") == "HOT") & F.col("member_cumulative_paid").isNotNull()).alias("hot"))
-                .collect()
-            )
+            hot = (F.col("member_id") == "HOT") & F.col("member_cumulative_paid").isNotNull()
+            rows = tagged.groupBy("p").agg(F.count_if(hot).alias("hot")).collect()
             return max(r.hot for r in rows), sum(r.hot for r in rows)
 
-        split_max, hot_total = hot_rows_per_partition(member_windows(df))
+        day_max, hot_total = hot_rows_per_partition(member_windows(df))
         plain_max, _ = hot_rows_per_partition(plain_member_windows(df))
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert hot_total == 2000
     assert plain_max == hot_total  # member-wide window: all in one task
-    assert split_max < hot_total / 4
+    assert day_max < hot_total / 4
