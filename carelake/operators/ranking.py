@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carelake.session import ensure_checkpoint_dir
+
 BAND = "_band"
 
 
@@ -64,6 +66,11 @@ def global_running(
         .repartitionByRange(nb, *order)
         .withColumn(BAND, F.spark_partition_id())
     )
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # without exchange reuse each consumer would sample its own range
+        # bounds: fix the band assignment once, in the checkpoint folder
+        ensure_checkpoint_dir(df.sparkSession)
+        banded = banded.checkpoint(eager=True)
 
     w = Window.partitionBy(BAND).orderBy(*order)
     local = banded.withColumn("_band_rn", F.row_number().over(w)).withColumn(

@@ -70,6 +70,19 @@ def test_global_running_with_ties(spark):
         assert a == b
 
 
+def test_global_running_without_exchange_reuse(spark):
+    df = spark.range(3000).select(
+        F.col("id").cast("string").alias("k"), (F.col("id") % 5).cast("decimal(18,4)").alias("v")
+    )
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        a = sorted(tuple(r) for r in global_running(df, "v", "k", True, bands=7).collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    b = sorted(tuple(r) for r in plain_running(df, "v", "k", True).collect())
+    assert a == b
+
+
 def test_exact_median(spark):
     for n in (1, 2, 7, 1000, 1001):
         vals = [random.Random(n).randint(0, 50) for _ in range(n)]
