@@ -72,3 +72,17 @@ def test_error_rows_carry_source_file(spark, data_path):
     raw = read_raw_csv(spark, data_path("claims_defects.csv"), with_source=True)
     files = {r.source_file for r in validation_errors(check(raw)).collect()}
     assert len(files) == 1 and files.pop().endswith("claims_defects.csv")
+
+
+def test_cli_etl_and_report(spark, data_path, tmp_path):
+    from carelake.__main__ import main
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    shutil.copy(data_path("claims_fixture.csv"), landing / "a.csv")
+    out = tmp_path / "out"
+    assert main(["etl", str(landing), str(out), "--partition-by", "state_code,service_year"]) == 0
+    assert os.path.isdir(out / "curated_paid_by_state" / "state_code=OH")
+    assert main(["report", "baseline_kpis", str(out / "curated_claims"), str(tmp_path / "kpi")]) == 0
+    r = spark.read.parquet(str(tmp_path / "kpi")).first()
+    assert (r.total_claims, r.paid_claims, r.denied_claims) == (15, 11, 2)
