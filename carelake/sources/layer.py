@@ -63,6 +63,15 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when a write to ``path`` finished (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def layer_path(spark: SparkSession, sf_dir: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{LAYER_DIR}/{fingerprint(spark, sf_dir)}"
@@ -91,11 +100,8 @@ def claims_layer(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
         return _KNOWN[key]
     path = layer_path(spark, sf_dir)
     df = None
-    if not rebuild:
-        try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
-            df = None
+    if not rebuild and _committed(spark, path):
+        df = spark.read.parquet(path)
     if df is None:
         build_claims_layer(spark, sf_dir, path)
         df = spark.read.parquet(path)
@@ -118,14 +124,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
         return _KNOWN_FEED[key]
     base = claims_layer(spark, sf_dir)
     path = layer_path(spark, sf_dir) + "_" + RAW_FEED_DIR
-    exists = False
-    if not rebuild:
-        try:
-            spark.read.text(path).limit(1).collect()
-            exists = True
-        except AnalysisException:
-            exists = False
-    if not exists:
+    if rebuild or not _committed(spark, path):
         (
             raw_from_typed(base)
             .write.mode("overwrite")
