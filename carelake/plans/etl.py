@@ -1,13 +1,15 @@
 """The claims ETL end to end, and its two summaries.
 
-    raw text -> check (one projection, error array per row)
-             -> checkpoint (cuts lineage; survives executor loss)
-             -> valid typed rows -> derive + member windows -> curated
+    raw text -> check (normalise, parse, one validity flag per row)
+             -> checkpoint (cuts lineage; survives executor loss; the load
+                counts are observed on this job)
+             -> valid typed rows -> member windows + derived fields -> curated
              -> error log, curated table, PAID layer by state, run summary
 
 The checked table is checkpointed once to the session's checkpoint folder, so
 the valid split, the error log and the counts are all read from the same
-materialised rows rather than re-scanning (and re-validating) the input.
+materialised rows rather than re-scanning (and re-validating) the input. Error
+records are built from the checkpointed rows, for invalid rows only.
 """
 
 from __future__ import annotations
