@@ -275,6 +275,8 @@ def all_sql() -> dict[str, str]:
     out.update(etl_sql())
     out.update(segment_sql())
     out.update(text_sql())
+    # the streaming ingest must produce exactly the batch valid claims
+    out["s1_streamed_valid_claims"] = out["e2_valid_claims"]
     return out
 
 

@@ -165,11 +165,29 @@ def text_queries() -> dict[str, Query]:
     }
 
 
+def streamed_valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw landing feed ingested by the streaming job (availableNow),
+    read back: the same rows as the batch valid claims."""
+    import uuid
+
+    from carelake.sources.layer import layer_path
+    from carelake.streaming.landing import LandingPaths, start_landing_ingest
+
+    feed = raw_feed(spark, sf_dir)
+    root = f"{layer_path(spark, sf_dir)}_stream/{uuid.uuid4().hex}"
+    paths = LandingPaths(feed, f"{root}/claims", f"{root}/errors", f"{root}/checkpoint")
+    start_landing_ingest(spark, paths).awaitTermination()
+    from carelake.schema import RAW_FIELDS
+
+    return report_types(spark.read.parquet(paths.claims_dir).select(*RAW_FIELDS))
+
+
 def all_queries() -> dict[str, Query]:
     out = analytics_queries()
     out.update(etl_queries())
     out.update(segment_queries())
     out.update(text_queries())
+    out["s1_streamed_valid_claims"] = streamed_valid_claims
     return out
 
 
