@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -87,6 +88,8 @@ def build_claims_layer(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 _KNOWN: dict[tuple[int, str], DataFrame] = {}
+# one build at a time per process: concurrent callers wait and reuse it
+_BUILD_LOCK = threading.RLock()
 
 
 def claims_layer(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
@@ -96,17 +99,18 @@ def claims_layer(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
     listing; ``rebuild=True`` rewrites the layer and refreshes it.
     """
     key = (id(spark), sf_dir)
-    if not rebuild and key in _KNOWN:
-        return _KNOWN[key]
-    path = layer_path(spark, sf_dir)
-    df = None
-    if not rebuild and _committed(spark, path):
-        df = spark.read.parquet(path)
-    if df is None:
-        build_claims_layer(spark, sf_dir, path)
-        df = spark.read.parquet(path)
-    _KNOWN[key] = df
-    return df
+    with _BUILD_LOCK:
+        if not rebuild and key in _KNOWN:
+            return _KNOWN[key]
+        path = layer_path(spark, sf_dir)
+        df = None
+        if not rebuild and _committed(spark, path):
+            df = spark.read.parquet(path)
+        if df is None:
+            build_claims_layer(spark, sf_dir, path)
+            df = spark.read.parquet(path)
+        _KNOWN[key] = df
+        return df
 
 
 RAW_FEED_DIR = "raw_feed_csv"
@@ -120,19 +124,20 @@ def raw_feed(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
     from carelake.sources.tables import raw_from_typed
 
     key = (id(spark), sf_dir)
-    if key in _KNOWN_FEED and not rebuild:
-        return _KNOWN_FEED[key]
-    base = claims_layer(spark, sf_dir)
-    path = layer_path(spark, sf_dir) + "_" + RAW_FEED_DIR
-    if rebuild or not _committed(spark, path):
-        (
-            raw_from_typed(base)
-            .write.mode("overwrite")
-            .option("header", "true")
-            .csv(path)
-        )
-    _KNOWN_FEED[key] = path
-    return path
+    with _BUILD_LOCK:
+        if key in _KNOWN_FEED and not rebuild:
+            return _KNOWN_FEED[key]
+        base = claims_layer(spark, sf_dir)
+        path = layer_path(spark, sf_dir) + "_" + RAW_FEED_DIR
+        if rebuild or not _committed(spark, path):
+            (
+                raw_from_typed(base)
+                .write.mode("overwrite")
+                .option("header", "true")
+                .csv(path)
+            )
+        _KNOWN_FEED[key] = path
+        return path
 
 
 def layer_claims(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
