@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe
+from carelake.llm import bpe, quality_crf
 
 
 def queries() -> dict:
     return {
+        "op5_quality": quality_crf.op5_quality,
         "op8_bpe": bpe.op8_bpe,
     }
 
