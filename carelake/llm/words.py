@@ -55,11 +55,11 @@ def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     while at < len(start):
         to = max(at + 1, int(np.searchsorted(end, start[at] + CHUNK, side="right")))
         lo, hi = int(start[at]), int(end[to - 1])
-        power, inverse = _powers(hi - lo)
+        power, inverse = _powers(hi - lo + 1)
         total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_BYTE[buf[lo:hi]] * power, out=total[1:])
+        np.cumsum(_BYTE[buf[lo:hi]] * power[:-1], out=total[1:])
         a, b = start[at:to] - lo, end[at:to] - lo
-        out[at:to] = mix((total[b] - total[a]) * inverse[np.minimum(a, hi - lo - 1)])
+        out[at:to] = mix((total[b] - total[a]) * inverse[a])
         at = to
     return out
 
