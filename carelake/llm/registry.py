@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, quality_crf
+from carelake.llm import bpe, mixing, quality_crf
 
 
 def queries() -> dict:
     return {
+        "op3_mixing": mixing.op3_mixing,
         "op5_quality": quality_crf.op5_quality,
         "op8_bpe": bpe.op8_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.OP3_SQL}
