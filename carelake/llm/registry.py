@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, mixing, quality_crf
+from carelake.llm import bpe, imatch, mixing, quality_crf
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op3_mixing": mixing.op3_mixing,
         "op5_quality": quality_crf.op5_quality,
         "op8_bpe": bpe.op8_bpe,
+        "op10_fingerprints": imatch.op10_fingerprints,
     }
 
 
