@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, imatch, mixing, quality_crf
+from carelake.llm import bpe, imatch, mixing, multi_index, quality_crf
 
 
 def queries() -> dict:
     return {
+        "op2_nearest": multi_index.op2_nearest,
         "op3_mixing": mixing.op3_mixing,
         "op5_quality": quality_crf.op5_quality,
         "op8_bpe": bpe.op8_bpe,
