@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, imatch, mixing, multi_index, quality_crf
+from carelake.llm import bpe, imatch, mixing, multi_index, quality_crf, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
     return {
         "op2_nearest": multi_index.op2_nearest,
         "op3_mixing": mixing.op3_mixing,
+        "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_quality": quality_crf.op5_quality,
         "op8_bpe": bpe.op8_bpe,
+        "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_fingerprints": imatch.op10_fingerprints,
     }
 

@@ -49,7 +49,7 @@ def find_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes; spans are in order and don't overlap."""
+    """64-bit hash of each span of bytes (or of 64-bit numbers); starts and ends are in order."""
     out = np.zeros(len(start), np.uint64)
     at = 0
     while at < len(start):
@@ -57,7 +57,7 @@ def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
         lo, hi = int(start[at]), int(end[to - 1])
         power, inverse = _powers(hi - lo + 1)
         total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_BYTE[buf[lo:hi]] * power[:-1], out=total[1:])
+        np.cumsum((_BYTE[buf[lo:hi]] if buf.dtype == np.uint8 else buf[lo:hi]) * power[:-1], out=total[1:])
         a, b = start[at:to] - lo, end[at:to] - lo
         out[at:to] = mix((total[b] - total[a]) * inverse[a])
         at = to
