@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, imatch, mixing, multi_index, quality_crf, shingle_join, substring_dedup, suffix_dedup
+from carelake.llm import bpe, imatch, mixing, multi_index, pii, quality_crf, shingle_join, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_quality": quality_crf.op5_quality,
         "op6_shingle_join": shingle_join.op6_shingle_join,
+        "op7_pii": pii.op7_pii,
         "op8_bpe": bpe.op8_bpe,
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_fingerprints": imatch.op10_fingerprints,
