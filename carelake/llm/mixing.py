@@ -69,10 +69,11 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     return leveled.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = "mix", bands: int = BANDS) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken."""
-    words = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col("text"))
-    keyed = words.select("doc_id", "source", "size", (-F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"))
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = "mix", bands: int = BANDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, copies, taken, and the columns named in ``carry``."""
+    kept = [f"_carry{i}" for i in range(len(carry))]
+    words = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col("text"), *[F.col(c).alias(k) for k, c in zip(kept, carry)])
+    keyed = words.select("doc_id", "source", "size", *kept, (-F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"))
     sized = stage(keyed.withColumn("band", F.least(F.floor(bands * (1 - F.exp(-F.col("key")))), F.lit(bands - 1)).cast("int")), "mix")
 
     target = source_targets(sized, weights, share, cap)
@@ -83,13 +84,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     plan = sums.alias("b").join(target.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select("b.source", "b.band", "t.source_size", "t.target", "t.epochs", "t.rest", (F.col("until") - F.col("band_size")).alias("begin"), "until")
 
     rows = sized.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.band") == F.col("p.band")))
-    rows = rows.select("d.doc_id", "d.source", "d.size", "d.key", "d.band", "p.source_size", "p.target", "p.epochs", "p.rest", "p.begin", "p.until")
+    rows = rows.select("d.doc_id", "d.source", "d.size", *[f"d.{k}" for k in kept], "d.key", "d.band", "p.source_size", "p.target", "p.epochs", "p.rest", "p.begin", "p.until")
     ends_here = (F.col("begin") < F.col("rest")) & (F.col("rest") < F.col("until"))
     whole = rows.where(~ends_here).withColumn("chosen", F.col("until") <= F.col("rest"))
     order = Window.partitionBy("source", "band").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     part = rows.where(ends_here).withColumn("chosen", F.col("begin") + F.sum("size").over(order) - F.col("size") / 2 < F.col("rest"))
     copies = (F.col("epochs") + F.when(F.col("chosen") & (F.col("rest") > 0), 1).otherwise(0)).cast("int")
-    return whole.unionByName(part).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return whole.unionByName(part).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *[F.col(k).alias(c) for k, c in zip(kept, carry)])
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,13 +117,14 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: fl
     return told.select("entity", "term", (reveals >= remove * content).alias("removed"))
 
 
-def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.8, remove: float = 0.95, support: int = 3, reach: int = 80) -> DataFrame:
-    """A row for each row: the id, base and spans (arrays of kind, start, stop, value) and sanitised (null where nothing changes)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
+def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.8, remove: float = 0.95, support: int = 3, reach: int = 80) -> DataFrame:
+    """A row for each row: doc_id, base and spans (arrays of kind, start, stop, value), sanitised (null where nothing
+    changes) and the columns named in ``carry``."""
+    kept = [F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)]
+    rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text"), *kept)
     base = F.concat(*[spans_of(F.col("_text"), k) for k in KINDS])
-    found = rows.select("_id", "_text", base.alias("base"))
-    found = found.select("_id", F.when(F.size("base") > 0, F.col("_text")).alias("text"), "base", F.monotonically_increasing_id().alias("_row"))
+    found = rows.withColumn("base", base)
+    found = found.select("_id", F.when(F.size("base") > 0, F.col("_text")).alias("text"), "base", F.monotonically_increasing_id().alias("_row"), *[f"_carry{i}" for i in range(len(carry))])
     found = stage(found, "pii-base")
     told = disclosing_terms(found, rows, alpha, remove, support, reach)
 
@@ -148,7 +149,7 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put"))),
         F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.when(s["removed"], F.lit("")).otherwise(F.lit("[TERM]")).alias("put"))),
     )
-    return rows.select(F.col("_id").alias(id_col), "base", F.concat("base", added).alias("spans"), F.when(F.size("base") > 0, rewritten(F.col("text"), F.array_sort(marks))).alias("sanitised"))
+    return rows.select(F.col("_id").alias("doc_id"), *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)], "base", F.concat("base", added).alias("spans"), F.when(F.size("base") > 0, rewritten(F.col("text"), F.array_sort(marks))).alias("sanitised"))
 
 
 def rewritten(text: Column, marks: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, imatch, mixing, multi_index, pii, quality_crf, shingle_join, substring_dedup, suffix_dedup
+from carelake.llm import bpe, imatch, mixing, multi_index, pii, quality_crf, secrets, shingle_join, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
     return {
+        "op1_secrets": secrets.op1_secrets,
         "op2_nearest": multi_index.op2_nearest,
         "op3_mixing": mixing.op3_mixing,
         "op4_substring_dedup": substring_dedup.op4_substring_dedup,

@@ -170,7 +170,7 @@ def trie_components(sets: list[np.ndarray], other: np.ndarray | None, least: int
 def first_shingles(docs: DataFrame, size: int, least: int, block_bytes: int, bucket_shingles: int) -> DataFrame:
     """For every row: at, doc_id, n, node (hash of the set) and, for the first row of each set in its block with a
     first shingle that occurs elsewhere, keys (those shingles) and shingles (all, packed)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks, buckets = 1 + int(total // block_bytes), 1 + int(total // 5 // bucket_shingles)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
@@ -226,17 +226,20 @@ def first_shingles(docs: DataFrame, size: int, least: int, block_bytes: int, buc
             keys.append(shared.view(np.int64) if len(shared) else None)
             packed.append(gram[a:b].astype("<u8").tobytes() if len(shared) else None)
         return pa.table({
-            "doc_id": table["doc_id"].combine_chunks(), "at": table["_at"].combine_chunks(), "n": np.diff(begin).astype(np.int64),
+            "doc_id": table["doc_id"].combine_chunks(), "text_key": table["text_key"].combine_chunks(), "at": table["_at"].combine_chunks(), "n": np.diff(begin).astype(np.int64),
             "node": pa.array(node, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64())), "shingles": pa.array(packed, pa.binary()),
         })
 
     keys = dealt.groupBy("block").applyInArrow(emit, "bucket int, block int, keys binary, counts binary")
     levels = keys.groupBy("bucket").applyInArrow(weigh, "block int, bucket int, levels binary")
-    return dealt.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(pick, "doc_id bigint, at bigint, n bigint, node binary, keys array<bigint>, shingles binary")
+    return dealt.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(pick, "doc_id bigint, text_key bigint, at bigint, n bigint, node binary, keys array<bigint>, shingles binary")
 
 
 def join_shingles(docs: DataFrame, size: int = SHINGLE, least: int = LEAST, block_bytes: int = BLOCK_BYTES, bucket_shingles: int = BUCKET_SHINGLES, chunk_sets: int = CHUNK_SETS, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row. Two sets link if 100 x intersection >= ``least`` x union."""
+    """doc_id, text_key (xxhash64 of the text, null as empty), n_shingles, component_id and component (a hash) of every row.
+
+    Two sets link if 100 x intersection >= ``least`` x union.
+    """
     rows = stage(first_shingles(docs, size, least, block_bytes, bucket_shingles), "shingles")
     sets = rows.where("keys is not null").dropDuplicates(["node"]).select("node", "n", "keys", "shingles")
 
@@ -285,12 +288,12 @@ def join_shingles(docs: DataFrame, size: int = SHINGLE, least: int = LEAST, bloc
     own = rows.groupBy("node").agg(F.min(F.when(F.col("n") > 0, F.col("at"))).alias("least"))
     own = own.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = own.groupBy("root").agg(F.min("least").alias("component"))
-    of = own.join(first, "root").select("node", "component")
-    result = rows.select("doc_id", "n", "node").join(of, "node")
+    of = own.join(first, "root").select("node", "component", "root")
+    result = rows.select("doc_id", "text_key", "n", "node").join(of, "node")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.nullif("component", F.lit(LAST)))
-    return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return result.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("root").alias("component"))
 
 
 def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
-    return join_shingles(read_table(spark, sf_dir, "documents"))
+    return join_shingles(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
