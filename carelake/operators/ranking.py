@@ -7,7 +7,8 @@ distributed steps:
 1. ``repartitionByRange`` on the full sort key (value and the tie-breaking
    id), so each partition holds one contiguous range of the global order and
    equal values are split across partitions by id. ``spark_partition_id``
-   then names the range ("band").
+   then names the range ("band"). The banded rows are written once, so a
+   row's band is a stored value: no later plan can cut the ranges anew.
 2. Per band, a window gives the local row number and running sum.
 3. Per band, the row count and sum; a window over these band rows (at most
    ``bands`` of them, a bound fixed by the caller) gives the offsets of all
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.session import ensure_checkpoint_dir
+from carelake.session import written
 
 BAND = "_band"
 
@@ -45,32 +46,24 @@ def global_running(
     rank_col: str = "rank",
     running_col: str = "running",
     with_totals: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add ``rank_col`` (1-based position) and ``running_col`` (sum of
     ``value`` over all rows up to and including this one) in the order
     (value desc|asc, key asc). ``with_totals`` also adds ``total_rows`` and
     ``total_sum`` (the row count and sum of ``value`` over all rows).
 
-    Band totals and grand totals are derived from the same windowed rows, so
-    the range exchange is computed once and every row's band is the band its
-    totals were counted in. This relies on both consumers of the windowed
-    rows having the same input (only ``key`` and ``value``, projected here),
-    which makes their exchanges identical and reused: two separate range
-    exchanges sample with different seeds and could cut the bands
-    differently. The output holds ``key``, ``value`` and the new columns.
+    The output holds ``key``, ``value``, the columns named in ``carry`` and
+    the new columns.
     """
     nb = bands or default_bands(df)
     order = _order(value, key, descending)
-    banded = (
-        df.select(key, value)
+    banded = written(
+        df.select(key, value, *carry)
         .repartitionByRange(nb, *order)
-        .withColumn(BAND, F.spark_partition_id())
+        .withColumn(BAND, F.spark_partition_id()),
+        "bands",
     )
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # without exchange reuse each consumer would sample its own range
-        # bounds: fix the band assignment once, in the checkpoint folder
-        ensure_checkpoint_dir(df.sparkSession)
-        banded = banded.checkpoint(eager=True)
 
     w = Window.partitionBy(BAND).orderBy(*order)
     local = banded.withColumn("_band_rn", F.row_number().over(w)).withColumn(
@@ -114,6 +107,17 @@ def plain_running(
     )
 
 
+def median_of_ranked(ranked: DataFrame, value: str) -> DataFrame:
+    """One-row median of ``value`` from ``global_running`` rows with totals (no null values)."""
+    n = F.col("total_rows")
+    lo = F.floor((n - 1) / 2) + 1
+    hi = F.floor(n / 2) + 1
+    picked = ranked.filter((F.col("rank") == lo) | (F.col("rank") == hi))
+    # lo == hi for odd counts: the one value counts twice, then halved
+    weight = F.when(lo == hi, F.lit(2)).otherwise(F.lit(1))
+    return picked.agg((F.sum(F.col(value) * weight) / F.lit(2)).alias("median"))
+
+
 def exact_median(df: DataFrame, value: str, key: str, bands: int | None = None) -> DataFrame:
     """One-row DataFrame with the exact (interpolated) median of ``value``.
 
@@ -126,10 +130,4 @@ def exact_median(df: DataFrame, value: str, key: str, bands: int | None = None)
     ranked = global_running(
         vals, value, key, descending=False, bands=bands, running_col="_r", with_totals=True
     )
-    n = F.col("total_rows")
-    lo = F.floor((n - 1) / 2) + 1
-    hi = F.floor(n / 2) + 1
-    picked = ranked.filter((F.col("rank") == lo) | (F.col("rank") == hi))
-    # lo == hi for odd counts: the one value counts twice, then halved
-    weight = F.when(lo == hi, F.lit(2)).otherwise(F.lit(1))
-    return picked.agg((F.sum(F.col(value) * weight) / F.lit(2)).alias("median"))
+    return median_of_ranked(ranked, value)

@@ -20,7 +20,8 @@ from carelake.functions.money import (
     sum_money_sql,
 )
 from carelake.functions.hashing import md5_bucket
-from carelake.operators.ranking import exact_median, global_running
+from carelake.operators.ranking import global_running, median_of_ranked
+from carelake.session import written
 from carelake.schema import (
     AGE_BAND_CUTS,
     AGE_BAND_SEED,
@@ -117,13 +118,18 @@ def unit_cost_by_claim_type(claims: DataFrame) -> DataFrame:
 
 
 # V5-V7: segments ----------------------------------------------------------------
-def member_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
-    """member_id, member_paid, claims, segment: High-Cost when the member's
-    PAID total is at or above the exact median of member totals."""
-    spend = member_spend(claims)
-    med = exact_median(spend, "member_paid", "member_id", bands)
+def _segmented(spend: DataFrame, bands: int | None) -> DataFrame:
+    """``member_spend`` rows with their segment.
+
+    The rows are ranked once; the median is read off the same written rows,
+    so the claims behind ``spend`` are scanned once.
+    """
+    ranked = global_running(
+        spend, "member_paid", "member_id", False, bands, running_col="_r", with_totals=True, carry=("claims",)
+    )
+    med = median_of_ranked(ranked.filter(F.col("member_paid").isNotNull()), "member_paid")
     # ``med`` is one row: a bounded broadcast (a scalar subquery)
-    return spend.crossJoin(F.broadcast(med)).select(
+    return ranked.crossJoin(F.broadcast(med)).select(
         "member_id",
         "member_paid",
         "claims",
@@ -133,6 +139,12 @@ def member_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
     )
 
 
+def member_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
+    """member_id, member_paid, claims, segment: High-Cost when the member's
+    PAID total is at or above the exact median of member totals."""
+    return _segmented(member_spend(claims), bands)
+
+
 def segment_claims(claims: DataFrame, segment: str = SEGMENT_HIGH, bands: int | None = None) -> DataFrame:
     """PAID claims of the members in ``segment`` (a left-semi join on the
     member ids: claims are filtered, never widened or duplicated)."""
@@ -160,33 +172,43 @@ def cost_segments(claims: DataFrame, bands: int | None = None) -> DataFrame:
 
 
 def _pivot_shares(counts: DataFrame, column: str, values: list[str], names: list[str]) -> DataFrame:
-    """Row-normalised pivot: per segment, % of its claims in each value."""
-    wide = (
+    """Row-normalised pivot: per segment, % of its claims in each value.
+
+    Values outside the list count among the segment's claims, so the listed
+    shares then add up to less than 100.
+    """
+    total = "sum(n)"
+    return (
         counts.groupBy("segment")
-        .pivot(column, values)
-        .agg(F.sum("n"))
-        .na.fill(0, subset=values)
+        .agg(
+            F.sum("n").alias("claims"),
+            *[
+                pct(f"coalesce(sum(CASE WHEN `{column}` = '{v}' THEN n END), 0)", total).alias(name)
+                for v, name in zip(values, names)
+            ],
+        )
+        .orderBy("segment")
     )
-    total = "(" + " + ".join(f"`{v}`" for v in values) + ")"
-    return wide.select(
-        "segment",
-        F.expr(total).alias("claims"),
-        *[pct(f"`{v}`", total).alias(name) for v, name in zip(values, names)],
-    ).orderBy("segment")
+
+
+def _mix(claims: DataFrame, column: Column, bands: int | None) -> DataFrame:
+    """segment, value, n: PAID claims by segment and ``column``. One scan: members' totals are summed up from the
+    (member, value) groups."""
+    fine = written(
+        _paid(claims)
+        .groupBy("member_id", column.alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("paid_amount").alias("paid")),
+        "member-mix",
+    )
+    spend = fine.groupBy("member_id").agg(F.sum("paid").alias("member_paid"), F.sum("n").alias("claims"))
+    segs = _segmented(spend, bands).select("member_id", "segment")
+    return fine.join(segs, "member_id").groupBy("segment", "value").agg(F.sum("n").alias("n"))
 
 
 def segment_claim_type_mix(claims: DataFrame, bands: int | None = None) -> DataFrame:
     """% of each segment's PAID claims by claim type (IP, OP, LTC, RX)."""
-    per_member_type = (
-        _paid(claims).groupBy("member_id", "claim_type").agg(F.count(F.lit(1)).alias("n"))
-    )
-    segs = member_segments(claims, bands).select("member_id", "segment")
-    counts = (
-        per_member_type.join(segs, "member_id")
-        .groupBy("segment", "claim_type")
-        .agg(F.sum("n").alias("n"))
-    )
-    return _pivot_shares(counts, "claim_type", CLAIM_TYPES, [f"{t}_pct" for t in CLAIM_TYPES])
+    counts = _mix(claims, F.col("claim_type"), bands)
+    return _pivot_shares(counts, "value", CLAIM_TYPES, [f"{t}_pct" for t in CLAIM_TYPES])
 
 
 def age_band(claim_id: Column) -> Column:
@@ -204,18 +226,7 @@ AGE_COLUMNS = ["age_18_34_pct", "age_35_49_pct", "age_50_64_pct", "age_65_plus_p
 
 def segment_age_mix(claims: DataFrame, bands: int | None = None) -> DataFrame:
     """% of each segment's PAID claims by synthetic age band."""
-    per_member_band = (
-        _paid(claims)
-        .groupBy("member_id", age_band(F.col("claim_id")).alias("age_group"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    segs = member_segments(claims, bands).select("member_id", "segment")
-    counts = (
-        per_member_band.join(segs, "member_id")
-        .groupBy("segment", "age_group")
-        .agg(F.sum("n").alias("n"))
-    )
-    return _pivot_shares(counts, "age_group", AGE_BANDS, AGE_COLUMNS)
+    return _pivot_shares(_mix(claims, age_band(F.col("claim_id")), bands), "value", AGE_BANDS, AGE_COLUMNS)
 
 
 # V8 ---------------------------------------------------------------------------

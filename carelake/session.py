@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -41,13 +43,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint folder; invent one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is left
-    alone. Local tests have none, so a scratch folder is made for them.
+    alone; without it a cluster session is refused, as each executor would
+    write to its own disk. Local tests have none, so a scratch folder is made
+    for them.
     """
     current = checkpoint_dir(spark)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
+
+
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` as a parquet table in the checkpoint folder, read back.
+
+    Cuts lineage and fixes the rows: what is read afterwards is pruned by
+    column (and by ``partition_by``), and every reader sees the same values.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/carelake-stages/{name}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
