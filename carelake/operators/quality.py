@@ -7,6 +7,7 @@ from the same checked rows. ``errors()`` is the array of failed checks (one
 struct per check), evaluated only where consumed. The checks, in reporting
 order:
 
+    MALFORMED_ROW         too few or too many fields         "Malformed row"
     NULL_VALUE            a required field is null           "Null in <field>"
     UNKNOWN_CLAIM_TYPE    claim_type not in the code list    "Unknown claim_type: <v>"
     UNKNOWN_CLAIM_STATUS  claim_status not in the code list  "Unknown claim_status: <v>"
@@ -30,6 +31,7 @@ from carelake.schema import (
     AMOUNT_FIELDS,
     CLAIM_STATUSES,
     CLAIM_TYPES,
+    CORRUPT,
     NA_TOKENS,
     RAW_FIELDS,
     REQUIRED_FIELDS,
@@ -72,22 +74,21 @@ def _missing_to_null(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> dict[s
     }
 
 
-def normalize_missing(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
-    """Read the usual missing-value tokens ('NA', 'N/A', 'null', '' ...) as null."""
-    return df.select(*[e.alias(c) for c, e in _missing_to_null(df, tokens).items()])
-
-
 # parsed copies of the typed fields, computed once and reused by the checks
 # and by the typed output
 PARSED = {"billed_amount": "_billed", "paid_amount": "_paid", "service_date": "_date"}
 INVALID = "_invalid"
 
 
-def rules() -> list[tuple[str, str, str, str]]:
+def rules(with_corrupt: bool = False) -> list[tuple[str, str, str, str]]:
     """(failure condition, rule, field, message) for every check, in order,
-    as SQL expressions over the normalised row."""
+    as SQL expressions over the normalised row. ``with_corrupt``: the scan
+    kept the text of rows with a wrong number of fields."""
     shown = lambda f: f"coalesce(CAST(`{f}` AS STRING), '{MISSING_TEXT}')"
-    out = [(f"`{c}` IS NULL", "NULL_VALUE", c, f"'Null in {c}'") for c in REQUIRED_FIELDS]
+    out = []
+    if with_corrupt:
+        out.append((f"`{CORRUPT}` IS NOT NULL", "MALFORMED_ROW", CORRUPT, "'Malformed row'"))
+    out += [(f"`{c}` IS NULL", "NULL_VALUE", c, f"'Null in {c}'") for c in REQUIRED_FIELDS]
     out.append(
         (
             f"NOT coalesce(claim_type IN ({_sql_list(CLAIM_TYPES)}), false)",
@@ -137,23 +138,25 @@ def check(raw: DataFrame) -> DataFrame:
     """
     require_columns(raw)
     norm = _missing_to_null(raw)
+    if CORRUPT in norm:
+        norm[CORRUPT] = F.col(CORRUPT)  # kept as it is
     normalized = raw.select(
         *[e.alias(c) for c, e in norm.items()],
         as_money(norm["billed_amount"]).alias(PARSED["billed_amount"]),
         as_money(norm["paid_amount"]).alias(PARSED["paid_amount"]),
         parse_date(norm["service_date"]).alias(PARSED["service_date"]),
     )
-    return normalized.select("*", _invalid_expr(rules()).alias(INVALID))
+    return normalized.select("*", _invalid_expr(rules(CORRUPT in raw.columns)).alias(INVALID))
 
 
-def errors() -> Column:
+def errors(checked: DataFrame) -> Column:
     """The array of failed checks of a checked row (empty when valid).
 
     An expression, not a stored column: it is evaluated only where it is
     consumed (error log, error counts), i.e. on invalid rows, and a
     checkpoint of the checked rows never materialises it.
     """
-    return _error_array(rules())
+    return _error_array(rules(CORRUPT in checked.columns))
 
 
 def is_valid() -> Column:
@@ -183,30 +186,15 @@ def valid_claims(checked: DataFrame) -> DataFrame:
     return typed(checked.filter(is_valid()))
 
 
-def invalid_rows(checked: DataFrame) -> DataFrame:
-    """Rows with at least one error, as text, with their error count."""
-    return (
-        checked.filter(~is_valid())
-        .withColumn("error_count", F.size(errors()))
-        .drop(INVALID, *PARSED.values())
-    )
-
-
 def validation_errors(checked: DataFrame) -> DataFrame:
     """One row per (claim, failed check): claim_id, rule, field, bad_value,
     error, plus source_file when the raw scan carried it."""
-    cols = [F.col("claim_id"), F.inline(errors())]
+    cols = [F.col("claim_id"), F.inline(errors(checked))]
     if "source_file" in checked.columns:
         cols.append(F.col("source_file"))
     return checked.filter(~is_valid()).select(*cols)
 
 
-def validate(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid typed claims, error records) from one checked projection."""
-    checked = check(raw)
-    return valid_claims(checked), validation_errors(checked)
-
-
 def observe_counts(checked: DataFrame, name: str = "load_counts") -> tuple[DataFrame, Observation]:
     """Attach raw / valid / invalid row and error counts, filled by the next action.
 
@@ -219,7 +207,7 @@ def observe_counts(checked: DataFrame, name: str = "load_counts") -> tuple[DataF
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
-        F.sum(F.when(~is_valid(), F.size(errors()))).alias("errors"),
+        F.sum(F.when(~is_valid(), F.size(errors(checked)))).alias("errors"),
     )
     return observed, obs
 
@@ -230,7 +218,7 @@ def quality_counts(checked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
-        F.coalesce(F.sum(F.when(~is_valid(), F.size(errors()))), F.lit(0))
+        F.coalesce(F.sum(F.when(~is_valid(), F.size(errors(checked)))), F.lit(0))
         .cast("long")
         .alias("error_count"),
     )

@@ -45,7 +45,6 @@ REQUIRED_FIELDS = [
 # fixed values: code lists
 CLAIM_TYPES = ["IP", "OP", "LTC", "RX"]
 CLAIM_STATUSES = ["PAID", "DENIED", "PENDING", "VOID"]
-PROVIDER_TYPES = ["HOSPITAL", "PHYSICIAN", "BEHAVIORAL", "NURSING"]
 AMOUNT_FIELDS = ["billed_amount", "paid_amount"]
 
 # fixed values: text read as missing when raw files are loaded (the default
@@ -88,23 +87,10 @@ SEGMENT_LOW = "Low-Cost"
 ANOMALY_LABEL = "denied but paid_amount > 0"
 
 
-def raw_schema() -> T.StructType:
-    """All-string layout: nothing is coerced before validation."""
-    return T.StructType([T.StructField(f, T.StringType(), True) for f in RAW_FIELDS])
-
-
-def typed_schema() -> T.StructType:
-    """Typed claim layout (money as DECIMAL(18,4), service_date as DATE)."""
-    types = {
-        "service_date": T.DateType(),
-        "billed_amount": MONEY,
-        "paid_amount": MONEY,
-    }
-    return T.StructType(
-        [T.StructField(f, types.get(f, T.StringType()), True) for f in RAW_FIELDS]
-    )
-
+# the text of a row whose number of fields is wrong
+CORRUPT = "_corrupt_record"
 
+# fixed values: derived fields of the curated table
 DERIVED_FIELDS = [
     "service_year",
     "service_month",
@@ -120,7 +106,7 @@ WINDOW_FIELDS = ["member_cumulative_paid", "days_since_last_claim"]
 # the one wide curated table: 14 raw + 8 derived + 2 window columns
 CURATED_FIELDS = RAW_FIELDS + DERIVED_FIELDS + WINDOW_FIELDS
 
-# the PAID-only, state-partitioned projection written by the curated sink
+# fixed values: the PAID-only, state-partitioned projection written by the curated sink
 CURATED_PAID_FIELDS = [
     "claim_id",
     "member_id",
@@ -144,3 +130,24 @@ CURATED_PAID_FIELDS = [
     "member_cumulative_paid",
     "days_since_last_claim",
 ]
+
+_CURATED_TYPES = {
+    "service_date": T.DateType(),
+    "billed_amount": MONEY,
+    "paid_amount": MONEY,
+    "service_year": T.IntegerType(),
+    "service_month": T.IntegerType(),
+    "service_quarter": T.IntegerType(),
+    "payment_rate": T.DoubleType(),
+    "is_inpatient": T.BooleanType(),
+    "is_denied": T.BooleanType(),
+    "is_behavioral": T.BooleanType(),
+    "anomaly_paid_denied": T.BooleanType(),
+    "member_cumulative_paid": T.DecimalType(28, 4),
+    "days_since_last_claim": T.IntegerType(),
+}
+
+
+def partition_schema(fields=None) -> T.StructType:
+    """Types of the curated layout, for reading written tables back."""
+    return T.StructType([T.StructField(f, _CURATED_TYPES.get(f, T.StringType())) for f in fields or CURATED_FIELDS])

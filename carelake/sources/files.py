@@ -2,54 +2,103 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import csv
+from collections import Counter
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelake.functions.dates import parse_date
 from carelake.functions.money import as_money
-from carelake.operators.quality import SchemaError, require_columns
-from carelake.schema import RAW_FIELDS, REQUIRED_FIELDS, raw_schema
+from carelake.operators.quality import SchemaError
+from carelake.schema import CORRUPT, RAW_FIELDS, REQUIRED_FIELDS, partition_schema
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the file header (reads only the first line)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        raise SchemaError(f"empty input: {path}")
-    return [c.strip() for c in first[0][0].split(",")]
+def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The data files under a path (names only; nothing is read)."""
+    return sorted(spark.read.format("binaryFile").load(path).inputFiles())
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """First line of one file, through the file system that holds it (compressed files too)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file) if "://" in file or file.startswith("file:") else file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        data = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
+def file_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of every file from its own first line, parsed as CSV (quoted names too).
+
+    Like a file listing this reads no data, only one line a file, several
+    files at a time. Files without a line hold no rows and are left out.
+    """
+
+    def names(file: str) -> tuple[str, tuple[str, ...] | None]:
+        line = _first_line(spark, file)
+        if line is None or not line.strip():
+            return file, None
+        return file, tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")])))
 
+    with ThreadPoolExecutor(16) as pool:
+        return {f: h for f, h in pool.map(names, files) if h is not None}
 
-def read_raw_csv(
-    spark: SparkSession, path: str, check_header: bool = True, with_source: bool = False
-) -> DataFrame:
+
+def _text_schema(names: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], with_source: bool = False) -> DataFrame:
     """All-text scan: nothing is coerced before validation.
 
-    The header is checked first: a missing required column aborts before any
-    job over the data; columns in another order are bound by name, not by
-    position (``enforceSchema=false``).
+    Every file is bound by its own header, so files with other column orders,
+    or with quoted names, may share a folder: files are grouped by header,
+    each group is scanned with that header as its schema, and the groups are
+    united by name. A file without a required column aborts before any job
+    over the data. A row with too few or too many fields keeps its text in
+    ``_corrupt_record``, which the validation reports.
     """
-    if check_header:
-        header = _header(spark, path)
+    headers = file_headers(spark, list_files(spark, path))
+    if not headers:
+        raise SchemaError(f"empty input: {path}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in headers.items():
         missing = [c for c in REQUIRED_FIELDS if c not in header]
         if missing:
-            raise SchemaError(f"Missing required columns: {missing}")
-        schema = raw_schema() if header == RAW_FIELDS else None
-    else:
-        schema = raw_schema()
-    reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
-    if schema is not None:
-        df = reader.option("enforceSchema", "false").schema(schema).csv(path)
-    else:
-        # a different layout: take the file's own column names, all as text
-        df = reader.option("inferSchema", "false").csv(path)
-    require_columns(df)
-    if with_source:
-        # a distributed CSV has no stable row position: keep the file instead
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+            raise SchemaError(f"Missing required columns: {missing} in {file}")
+        twice = [c for c, n in Counter(header).items() if n > 1]
+        if twice:
+            raise SchemaError(f"Repeated columns: {twice} in {file}")
+        groups.setdefault(header, []).append(file)
+    scans = []
+    for header, files in sorted(groups.items()):
+        scan = (
+            spark.read.schema(_text_schema([*header, CORRUPT]))
+            .option("header", "true")
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", "false")  # field counts need the whole row
+            .csv(files)
+        )
+        if with_source:
+            # a distributed CSV has no stable row position: keep the file instead
+            scan = scan.withColumn("source_file", F.col("_metadata.file_path"))
+        scans.append(scan)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    first = [f for f in RAW_FIELDS if f in df.columns]
+    return df.select(*first, *[c for c in df.columns if c not in first])
 
 
 def read_claims_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -67,13 +116,18 @@ def read_claims_csv(spark: SparkSession, path: str) -> DataFrame:
             if c in ("billed_amount", "paid_amount")
             else F.col(c)
             for c in raw.columns
+            if c != CORRUPT
         ]
     )
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """The curated parquet layer (partition directories become columns)."""
-    return spark.read.parquet(path)
+def read_curated(spark: SparkSession, path: str, fields: Iterable[str] | None = None) -> DataFrame:
+    """The curated parquet layer, in the layout of ``fields`` (default: the wide table).
+
+    The schema is given, not inferred: a partition directory ``state_code=06``
+    is the text 06, not the number 6.
+    """
+    return spark.read.schema(partition_schema(fields)).parquet(path)
 
 
 def register(df: DataFrame, name: str = "claims") -> DataFrame:

@@ -22,49 +22,41 @@ and the denial notes use.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from carelake.schema import RAW_FIELDS
+from carelake.functions.hashing import md5_bucket
+from carelake.schema import RAW_FIELDS, partition_schema
 from carelake.session import ensure_checkpoint_dir
-from carelake.sources.tables import claims_with_provenance
+from carelake.sources.tables import claims_with_provenance, raw_from_typed
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 PROVENANCE = ["source_orderkey", "source_linenumber"]
 LAYER_DIR = "carelake-claims-layer"
 # bump when the mapping, the layout or the raw-feed defects change: the
 # version is part of the fingerprint, so an older layer is never reused
-LAYER_VERSION = "3"
-
-
-def _local_path(uri: str) -> str | None:
-    if uri.startswith("file:"):
-        p = uri[5:]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    return uri if uri.startswith("/") else None
+LAYER_VERSION = "5"
 
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Hash of the source files' paths (and sizes / mtimes when local)."""
+    """Hash of the source files' names, sizes and times, as their own file system gives them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     parts = [LAYER_VERSION, sf_dir.rstrip("/")]
     for t in SOURCE_TABLES:
-        for f in sorted(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").inputFiles()):
-            lp = _local_path(f)
-            if lp and os.path.exists(lp):
-                st = os.stat(lp)
-                parts.append(f"{f}:{st.st_size}:{st.st_mtime_ns}")
-            else:
-                parts.append(f)
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            parts.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
+def committed(spark: SparkSession, path: str) -> bool:
     """True when a write to ``path`` finished (its ``_SUCCESS`` marker exists)."""
     try:
         spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
@@ -87,7 +79,6 @@ def build_claims_layer(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
-_KNOWN: dict[tuple[int, str], DataFrame] = {}
 # one build at a time per process: concurrent callers wait and reuse it
 _BUILD_LOCK = threading.RLock()
 
@@ -95,48 +86,70 @@ _BUILD_LOCK = threading.RLock()
 def claims_layer(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The typed claims layer for ``sf_dir`` (built on first use).
 
-    The DataFrame is kept per session, so later reports skip the file
-    listing; ``rebuild=True`` rewrites the layer and refreshes it.
+    The sources' fingerprint is taken on every call, so a rewritten source
+    gets a new layer within a session too; ``rebuild=True`` rewrites it.
     """
-    key = (id(spark), sf_dir)
     with _BUILD_LOCK:
-        if not rebuild and key in _KNOWN:
-            return _KNOWN[key]
         path = layer_path(spark, sf_dir)
-        df = None
-        if not rebuild and _committed(spark, path):
-            df = spark.read.parquet(path)
-        if df is None:
+        if rebuild or not committed(spark, path):
             build_claims_layer(spark, sf_dir, path)
-            df = spark.read.parquet(path)
-        _KNOWN[key] = df
-        return df
+        return spark.read.schema(_layer_schema()).parquet(path)
+
+
+def _layer_schema() -> T.StructType:
+    fields = partition_schema(RAW_FIELDS).fields
+    return T.StructType(
+        [f for f in fields if f.name != "claim_status"]
+        + [T.StructField("source_orderkey", T.LongType()), T.StructField("source_linenumber", T.IntegerType())]
+        + [f for f in fields if f.name == "claim_status"]
+    )
 
 
 RAW_FEED_DIR = "raw_feed_csv"
-_KNOWN_FEED: dict[tuple[int, str], str] = {}
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
     """Path of the raw landing feed for ``sf_dir``: header CSV, all text,
     with the seeded defects (see ``tables.raw_from_typed``); written once
     next to the claims layer."""
-    from carelake.sources.tables import raw_from_typed
-
-    key = (id(spark), sf_dir)
     with _BUILD_LOCK:
-        if key in _KNOWN_FEED and not rebuild:
-            return _KNOWN_FEED[key]
         base = claims_layer(spark, sf_dir)
         path = layer_path(spark, sf_dir) + "_" + RAW_FEED_DIR
-        if rebuild or not _committed(spark, path):
+        if rebuild or not committed(spark, path):
             (
                 raw_from_typed(base)
                 .write.mode("overwrite")
                 .option("header", "true")
                 .csv(path)
             )
-        _KNOWN_FEED[key] = path
+        return path
+
+
+MIXED_FEED_DIR = "mixed_feed_csv"
+
+
+def mixed_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The raw feed as a mixed landing folder: files in the standard order, files in another order with quoted names,
+    and files whose rows lack the last field or have one too many (by md5 of the claim id)."""
+    with _BUILD_LOCK:
+        path = layer_path(spark, sf_dir) + "_" + MIXED_FEED_DIR
+        if not committed(spark, f"{path}/odd"):
+            raw = raw_from_typed(claims_layer(spark, sf_dir))
+            bucket = md5_bucket(F.col("claim_id"), "mixed")
+            raw.filter(bucket < 50).write.mode("overwrite").option("header", "true").csv(f"{path}/plain")
+            turned = [RAW_FIELDS[1], RAW_FIELDS[0], *reversed(RAW_FIELDS[2:])]
+            (
+                raw.filter((bucket >= 50) & (bucket < 80)).select(*turned)
+                .write.mode("overwrite").option("header", "true").option("quoteAll", "true").csv(f"{path}/turned")
+            )
+            # whole lines as one column, so that a row may have any number of fields
+            text = [F.coalesce(F.col(f), F.lit("")) for f in RAW_FIELDS]
+            short, long = F.concat_ws(",", *text[:-1]), F.concat_ws(",", *text, F.lit("more"))
+            line = F.when(bucket < 85, short).when(bucket < 90, long).otherwise(F.concat_ws(",", *text))
+            (
+                raw.filter(bucket >= 80).select(line.alias(",".join(RAW_FIELDS)))
+                .write.mode("overwrite").option("header", "true").option("sep", "\u0001").csv(f"{path}/odd")
+            )
         return path
 
 
