@@ -303,8 +303,8 @@ def behavioral_spend_by_state(claims: DataFrame) -> DataFrame:
 
 # Q14 --------------------------------------------------------------------------
 @needs("claim_status", "billed_amount", "paid_amount", "claim_type", "provider_type")
-def executive_metrics(claims: DataFrame) -> DataFrame:
-    """The eight metrics behind the executive summary, in one pass."""
+def executive_metrics(claims: DataFrame, *more: Column) -> DataFrame:
+    """The eight metrics behind the executive summary, and ``more`` aggregates, in one pass."""
     total = F.count(F.lit(1))
     denied = count_where(_status("DENIED"))
     return claims.agg(
@@ -320,6 +320,7 @@ def executive_metrics(claims: DataFrame) -> DataFrame:
         sum_money_sql("CASE WHEN provider_type = 'BEHAVIORAL' THEN paid_amount END").alias(
             "behavioral_health_spend"
         ),
+        *more,
     )
 
 

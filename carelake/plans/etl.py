@@ -1,15 +1,15 @@
 """The claims ETL end to end, and its two summaries.
 
     raw text -> check (normalise, parse, one validity flag per row)
-             -> checkpoint (cuts lineage; survives executor loss; the load
-                counts are observed on this job)
+             -> one parquet stage by validity (cuts lineage; survives executor
+                loss; the load counts are observed on this job)
              -> valid typed rows -> member windows + derived fields -> curated
              -> error log, curated table, PAID layer by state, run summary
 
-The checked table is checkpointed once to the session's checkpoint folder, so
-the valid split, the error log and the counts are all read from the same
-materialised rows rather than re-scanning (and re-validating) the input. Error
-records are built from the checkpointed rows, for invalid rows only.
+The checked table is written once to the session's checkpoint folder, so the
+valid split, the error log and the counts are all read from the same rows
+rather than re-scanning (and re-validating) the input. Error records are built
+from the invalid part only.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from carelake.operators.quality import (
     validation_errors,
 )
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.session import ensure_checkpoint_dir
+from carelake.session import written
 from carelake.sources import sinks
 
 
@@ -57,7 +57,7 @@ def load_summary(checked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(valid).alias("rows_valid"),
         F.count_if(~valid).alias("rows_invalid"),
-        F.coalesce(F.sum(F.when(~valid, F.size(errors()))), F.lit(0)).cast("long").alias("error_count"),
+        F.coalesce(F.sum(F.when(~valid, F.size(errors(checked)))), F.lit(0)).cast("long").alias("error_count"),
         count_where(denied & (F.col(PARSED["paid_amount"]) > 0)).alias("anomalies_found"),
         sum_money_sql(f"CASE WHEN NOT {INVALID} THEN {PARSED['billed_amount']} END").alias(
             "total_billed"
@@ -80,6 +80,17 @@ SUMMARY_MAP_METRICS = {
     "spend_by_state": "state_code",
     "spend_by_provider": "provider_type",
 }
+SCALAR_METRICS = [
+    "total_claims",
+    "paid_claims",
+    "denied_claims",
+    "denial_rate_pct",
+    "total_billed",
+    "total_paid",
+    "mean_payment_rate_pct",
+    "inpatient_avg_paid",
+    "behavioral_health_spend",
+]
 
 
 def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
@@ -126,47 +137,41 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
         sum_money("bh_s").alias("behavioral_health_spend"),
         F.sum("id_n").alias("claim_count"),
     )
-    scalar_names = [
-        "total_claims",
-        "paid_claims",
-        "denied_claims",
-        "denial_rate_pct",
-        "total_billed",
-        "total_paid",
-        "mean_payment_rate_pct",
-        "inpatient_avg_paid",
-        "behavioral_health_spend",
-    ]
-
     def row(metric: Column, key: Column, value: Column) -> Column:
         return F.struct(
             metric.alias("metric"), key.cast("string").alias("key"), value.cast("double").alias("value")
         )
 
-    # rank diagnosis rows inside their grouping set (bounded by code count)
-    by_set = Window.partitionBy("gid").orderBy(F.desc("claim_count"), F.asc_nulls_last("diagnosis_code"))
     gid = F.col("gid")
     rows = F.when(
         gid == _GID["all"],
-        F.array(*[row(F.lit(m), F.lit(None), F.col(m)) for m in scalar_names]),
+        F.array(*[row(F.lit(m), F.lit(None), F.col(m)) for m in SCALAR_METRICS]),
     )
     for metric, dim in SUMMARY_MAP_METRICS.items():
         rows = rows.when(
             gid == _GID[dim], F.array(row(F.lit(metric), F.col(dim), F.col("total_paid")))
         )
-    rows = rows.when(
-        (gid == _GID["diagnosis_code"]) & (F.col("_rn") <= top_n),
-        F.array(row(F.lit("top_diagnoses"), F.col("diagnosis_code"), F.col("claim_count"))),
+    # the small rolled-up table is written: both parts read it
+    g = written(g, "summary")
+    top = (
+        g.filter(gid == _GID["diagnosis_code"])
+        .orderBy(F.desc("claim_count"), F.asc_nulls_last("diagnosis_code"))
+        .limit(top_n)
+        .select(F.inline(F.array(row(F.lit("top_diagnoses"), F.col("diagnosis_code"), F.col("claim_count")))))
     )
-    # one pass over the rolled-up table: every grouping set emits its rows
-    return g.withColumn("_rn", F.row_number().over(by_set)).select(F.inline(rows))
+    return g.filter(gid != _GID["diagnosis_code"]).select(F.inline(rows)).unionByName(top)
+
+
+# a map of the record holds at most so many groups, largest first
+MAP_LIMIT = 1000
 
 
 def summary_record(summary_long: DataFrame, run_timestamp: str) -> DataFrame:
     """One-row nested summary (scalars as columns, maps as MAP columns).
 
-    Built from the long rows; each map holds one entry per group value, so
-    it is bounded by the dimension's cardinality.
+    Built from the long rows. A map holds the ``MAP_LIMIT`` groups of largest
+    value at most (state codes aren't checked, so their number isn't bounded);
+    the long rows have all of them.
     """
     scalars = summary_long.filter(F.col("key").isNull() & (F.col("metric") != "top_diagnoses"))
     maps = summary_long.filter(
@@ -174,18 +179,10 @@ def summary_record(summary_long: DataFrame, run_timestamp: str) -> DataFrame:
     )
     scalar_row = scalars.groupBy().pivot(
         "metric",
-        [
-            "total_claims",
-            "paid_claims",
-            "denied_claims",
-            "denial_rate_pct",
-            "total_billed",
-            "total_paid",
-            "mean_payment_rate_pct",
-            "inpatient_avg_paid",
-            "behavioral_health_spend",
-        ],
+        SCALAR_METRICS,
     ).agg(F.first("value"))
+    place = F.row_number().over(Window.partitionBy("metric").orderBy(F.desc_nulls_last("value"), "key"))
+    maps = maps.withColumn("_place", place).filter(F.col("_place") <= MAP_LIMIT)
     map_row = maps.groupBy().pivot(
         "metric", [*SUMMARY_MAP_METRICS.keys(), "top_diagnoses"]
     ).agg(
@@ -217,17 +214,17 @@ def run_etl(
 ) -> EtlResult:
     """Validate, transform and write every output of one load.
 
-    ``output_dir`` should be shared storage on a cluster. The checked rows
-    are checkpointed (reliably, to the session's checkpoint folder) so a lost
-    executor does not force re-reading the landing files.
+    ``output_dir`` should be shared storage on a cluster. The checked rows are
+    written once, by validity, to the session's checkpoint folder: a lost
+    executor does not force re-reading the landing files, the transform reads
+    the valid part by column, the error log the other.
     """
-    ensure_checkpoint_dir(spark)
     ts = run_timestamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-    # raw / valid / invalid counts are filled in by the checkpoint job itself
+    # raw / valid / invalid counts are filled in by the write itself
     # (observed there, not downstream: a range repartition's sampling job
     # would execute an observed node a second time)
     observed, obs = observe_counts(check(raw))
-    checked = observed.checkpoint(eager=True)
+    checked = written(observed, "checked", INVALID)
 
     curated = transform(valid_claims(checked))
     out = output_dir.rstrip("/")
@@ -245,8 +242,9 @@ def run_etl(
     sinks.write_summary_json(summary_record(analytics_summary(curated), ts), summary_path)
     load = load_summary(checked)
     load_path = f"{out}/load_summary"
-    sinks.write_summary_json(load.select(F.lit(ts).alias("run_timestamp"), "*"), load_path)
-    counts = load.first().asDict()
+    stamped = load.select(F.lit(ts).alias("run_timestamp"), "*")
+    sinks.write_summary_json(stamped, load_path)
+    counts = spark.read.schema(stamped.schema).json(load_path).drop("run_timestamp").first().asDict()
     counts["observed"] = dict(obs.get)
     return EtlResult(curated_path, paid_path, errors_path if wrote else None, summary_path, counts)
 

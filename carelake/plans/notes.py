@@ -31,15 +31,15 @@ CATEGORIES = [
     "OTHER",
 ]
 
-# fixed values: ordered rules (first match wins) over the lower-cased note,
-# with the confidence reported for a match
+# ordered rules (first match wins) over the lower-cased note, with the
+# confidence reported for a match; whole words only
 NOTE_RULES = [
-    ("AUTHORIZATION_MISSING", r"not authori[sz]ed|prior auth|pre-?certification", 0.95),
-    ("DUPLICATE_CLAIM", r"duplicate|already (paid|processed|submitted)", 0.95),
-    ("ELIGIBILITY_ISSUE", r"not enrolled|not eligible|eligibility|coverage (ended|terminated)", 0.9),
-    ("TIMELY_FILING", r"filing limit|timely filing|submitted late|late submission", 0.95),
-    ("MEDICAL_NECESSITY", r"medically necessary|medical necessity", 0.9),
-    ("CODING_ERROR", r"code|modifier|does not match diagnosis|invalid diagnosis", 0.85),
+    ("DUPLICATE_CLAIM", r"\bduplicates?\b|\balready (been )?(paid|processed|submitted|adjudicated|billed)\b|\bbilled twice\b", 0.95),
+    ("AUTHORIZATION_MISSING", r"\b(un|not |pre-?)?authori[sz](ed|ation)\b|\b(no|prior|missing|without) auth\b|\bauth (missing|required|not)\b|\bpre-?cert(ification)?\b|\breferral (missing|required|not)\b|\bno referral\b", 0.95),
+    ("TIMELY_FILING", r"\b(timely )?filing (limit|window|deadline|period)\b|\btimely filing\b|\b(filed|submitted|received|submission) (too )?late\b|\blate (filing|submission)\b|\b(after|past|beyond|missed) the (filing )?(deadline|limit|window)\b", 0.95),
+    ("ELIGIBILITY_ISSUE", r"\b(not|no longer) (enrolled|eligible|covered|active)\b|\bineligible\b|\beligibility\b|\bcoverage (had |has |was )?(ended|terminated|lapsed|inactive|expired)\b|\b(no|without) coverage\b|\bnot a (member|subscriber)\b", 0.9),
+    ("MEDICAL_NECESSITY", r"\bmedical(ly)? (necess(ary|ity)|unnecessary)\b|\bnot (clinically )?(necessary|indicated)\b|\bexperimental\b", 0.9),
+    ("CODING_ERROR", r"\b(procedure|diagnosis|billing|billed|revenue|cpt|icd(-10)?|hcpcs|invalid|wrong|incorrect|unbundled|mismatched) codes?\b|\bcoding\b|\bmodifiers?\b|\bcodes? (does|do|is|are|was|conflicts?|invalid|mismatch)\b|\b(match|matching|mismatch|invalid) (the )?diagnosis\b", 0.85),
 ]
 OTHER_CONFIDENCE = 0.5
 EMPTY_CONFIDENCE = 0.0
@@ -101,37 +101,55 @@ def denial_category_trend(classified: DataFrame) -> DataFrame:
 
 
 # T4 ---------------------------------------------------------------------------
-RESPONSE_SCHEMA = "array<struct<note:string,category:string,confidence:double>>"
+# every value as its own JSON text, so that its type can be checked
+_ENTRY = "array<variant>"
 
 
-def classifier_responses(classified: DataFrame, malformed: Column, empty: Column) -> DataFrame:
-    """JSON responses (one per claim) as a classifier would return them;
-    ``malformed`` rows get truncated text, ``empty`` rows an empty array."""
-    body = F.to_json(F.array(F.struct("note", "category", "confidence")))
-    text = (
-        F.when(malformed, F.expr("substring(to_json(array(struct(note, category, confidence))), 1, 20)"))
-        .when(empty, F.lit("[]"))
-        .otherwise(body)
-    )
-    return classified.select("claim_id", text.alias("response"))
+def parse_classifications(responses: DataFrame, json_col: str = "response", id_col: str = "claim_id") -> DataFrame:
+    """One row per classified note; a reply of another shape gives one error row.
 
+    parse_status: 'ok' for entries, 'empty' for an empty array, 'malformed'
+    when the text is not a JSON array, or one of its entries lacks a note text,
+    a category of the taxonomy or a confidence number from 0 to 1; ``raw`` then
+    holds the text.
+    """
+    reply = F.try_parse_json(F.col(json_col))
+    kind = F.schema_of_variant(reply)
+    listed = responses.withColumn("_v", F.when(kind.startswith("ARRAY"), reply)).withColumn(
+        "_p", F.when(F.col("_v").isNotNull(), F.col("_v").cast(_ENTRY))
+    )
 
-def parse_classifications(responses: DataFrame, json_col: str = "response") -> DataFrame:
-    """One row per classified note; malformed text gives one error row.
+    def good(e: Column) -> Column:
+        field = lambda path, t: F.try_variant_get(e, path, t)
+        number = F.schema_of_variant(field("$.confidence", "variant")).rlike("^(BIGINT|DOUBLE|DECIMAL)")
+        text = lambda path: F.schema_of_variant(field(path, "variant")) == "STRING"
+        shape = F.schema_of_variant(e).startswith("OBJECT")
+        known = field("$.category", "string").isin(CATEGORIES)
+        return F.coalesce(
+            shape & text("$.note") & text("$.category") & known & number & field("$.confidence", "double").between(0, 1),
+            F.lit(False),
+        )
 
-    parse_status: 'ok' for parsed entries, 'empty' for an empty array,
-    'malformed' when the text is not a JSON array of the expected shape.
-    """
-    parsed = responses.withColumn("_p", F.from_json(F.col(json_col), RESPONSE_SCHEMA))
+    bad = F.col("_p").isNull() | ~F.forall("_p", good)
+    entries = F.transform(
+        "_p",
+        lambda e: F.struct(
+            F.try_variant_get(e, "$.note", "string").alias("note"),
+            F.try_variant_get(e, "$.category", "string").alias("category"),
+            F.try_variant_get(e, "$.confidence", "double").alias("confidence"),
+        ),
+    )
+    checked = listed.select(id_col, json_col, bad.alias("_bad"), "_p").withColumn(
+        "_e", F.when(~F.col("_bad"), entries)
+    )
     status = (
-        F.when(F.col("_p").isNull(), F.lit("malformed"))
-        .when(F.size("_p") == 0, F.lit("empty"))
-        .otherwise(F.lit("ok"))
+        F.when(F.col("_bad"), F.lit("malformed")).when(F.size("_e") == 0, F.lit("empty")).otherwise(F.lit("ok"))
     )
-    return parsed.select(
-        "claim_id",
+    return checked.select(
+        id_col,
         status.alias("parse_status"),
-        F.inline_outer(F.col("_p")),
+        F.when(F.col("_bad"), F.col(json_col)).alias("raw"),
+        F.inline_outer(F.col("_e")),
     )
 
 
@@ -155,12 +173,12 @@ def anomaly_payload(claims: DataFrame) -> DataFrame:
 # T6 ---------------------------------------------------------------------------
 ANOMALY_CODE = "PAID_DENIED"
 
-# fixed values: anomaly code -> likely cause, remediation
+# anomaly code -> likely cause, remediation
 ANOMALY_EXPLANATIONS = [
     (
         ANOMALY_CODE,
-        "Payment posted before a retroactive denial; the payment was not reversed.",
-        "Match against remittance data; void or adjust the payment if no reversal exists.",
+        "A denied claim still carries money: status and amount were set by different steps.",
+        "Ask the payer which of the two is right, then correct the amount or the status.",
     ),
 ]
 
@@ -196,13 +214,8 @@ def _money(c: str) -> Column:
 
 def executive_summary_text(claims: DataFrame) -> DataFrame:
     """The executive metrics plus a plain-text briefing and attention flags."""
-    m = executive_metrics(claims)
-    anomalies = claims.agg(
-        count_where((F.col("claim_status") == "DENIED") & (F.col("paid_amount") > 0)).alias(
-            "anomalies"
-        )
-    )
-    row = m.crossJoin(anomalies)  # one row x one row
+    anomalies = count_where((F.col("claim_status") == "DENIED") & (F.col("paid_amount") > 0))
+    row = executive_metrics(claims, anomalies.alias("anomalies"))
     denial_flag = F.col("denial_rate_pct") > DENIAL_ATTENTION_PCT
     anomaly_flag = F.col("anomalies") > 0
     text = F.concat_ws(
@@ -246,7 +259,6 @@ def executive_summary_text(claims: DataFrame) -> DataFrame:
 __all__ = [
     "CATEGORIES",
     "anomaly_payload",
-    "classifier_responses",
     "classify_denial_notes",
     "denial_category_trend",
     "executive_summary_text",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +16,9 @@ from carelake.plans import notes as N
 from carelake.plans import segments as V
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.sources.files import read_raw_csv
-from carelake.sources.layer import claims_layer, layer_claims as claims, raw_feed
+from carelake.schema import CORRUPT, CURATED_PAID_FIELDS, RAW_FIELDS
+from carelake.sources.files import read_claims_csv, read_curated, read_raw_csv, register, run_sql
+from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, mixed_feed, raw_feed
 from carelake.sources.tables import notes_from_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,10 @@ def _dimension(dim: str) -> Query:
     return run
 
 
+# keeps some members only: the default threshold keeps all of these tables
+SELECTIVE_THRESHOLD = 2_500_000
+
+
 def analytics_queries() -> dict[str, Query]:
     return {
         "q1_baseline_kpis": _over_claims(A.baseline_kpis),
@@ -48,6 +53,7 @@ def analytics_queries() -> dict[str, Query]:
         "q3_spend_by_state_plan": _over_claims(A.spend_by_state_plan),
         "q4_high_cost_members": _over_claims(A.high_cost_members),
         "q4_high_cost_members_all": _over_claims(A.high_cost_members, limit=None),
+        "q4_high_cost_members_selective": _over_claims(A.high_cost_members, threshold=SELECTIVE_THRESHOLD, limit=None),
         "q5_behavioral_utilization": _over_claims(A.behavioral_utilization),
         "q5b_behavioral_by_state": _over_claims(A.behavioral_by_state),
         "q5c_behavioral_share_of_state": _over_claims(A.behavioral_share_of_state),
@@ -82,10 +88,74 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_csv(spark, raw_feed(spark, sf_dir))
 
 
+def mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder with two column orders, quoted names, short and long
+    rows: every row with the fields it is bound to and whether it is malformed."""
+    root = mixed_feed(spark, sf_dir)
+    raw = read_raw_csv(spark, [f"{root}/{p}" for p in ("plain", "turned", "odd")])
+    return raw.select(
+        "claim_id", "member_id", "state_code", "paid_amount", "managed_care_flag",
+        F.col(CORRUPT).isNotNull().alias("malformed"),
+    )
+
+
+def sql_paid_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed CSV scan registered as a table and queried with a named parameter."""
+    register(read_claims_csv(spark, raw_feed(spark, sf_dir)), "landing_claims")
+    return run_sql(
+        spark,
+        "SELECT state_code, count(*) AS n_claims, CAST(sum(paid_amount) AS DOUBLE) AS paid"
+        " FROM landing_claims WHERE claim_status = :s GROUP BY state_code",
+        {"s": "PAID"},
+    )
+
+
+# one run of the whole load per input: its outputs are checked by the e4_run_* queries
+RUN_TIME = "2024-01-01T00:00:00"
+
+
+def etl_run(spark: SparkSession, sf_dir: str) -> str:
+    """Output folder of ``run_etl`` over the raw feed (written on first use)."""
+    feed = raw_feed(spark, sf_dir)
+    out = f"{layer_path(spark, sf_dir)}_run"
+    if not committed(spark, f"{out}/load_summary"):
+        E.run_etl(spark, read_raw_csv(spark, feed), out, RUN_TIME)
+    return out
+
+
+def _summary_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The run's summary record as (metric, key, value) rows."""
+    maps = [*E.SUMMARY_MAP_METRICS, "top_diagnoses"]
+    fields = [f"{m} map<string,double>" for m in maps] + [f"{m} double" for m in E.SCALAR_METRICS]
+    record = spark.read.schema("run_timestamp string, " + ", ".join(fields)).json(path)
+    rows = [
+        F.map_entries(m) if m in maps else F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col(m).alias("value")))
+        for m in [*maps, *E.SCALAR_METRICS]
+    ]
+
+    def named(metric: str, entries: Column) -> Column:
+        return F.transform(entries, lambda x: F.struct(F.lit(metric).alias("metric"), x["key"].alias("key"), x["value"].alias("value")))
+
+    return record.select(F.inline(F.concat(*[named(m, r) for m, r in zip([*maps, *E.SCALAR_METRICS], rows)])))
+
+
 def denial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notes_from_typed(claims_layer(spark, sf_dir))
 
 
+def run_queries() -> dict[str, Query]:
+    return {
+        "e1_mixed_landing": mixed_landing,
+        "s5_sql_paid_by_state": sql_paid_by_state,
+        "e4_run_curated": lambda s, d: report_types(read_curated(s, f"{etl_run(s, d)}/curated_claims")),
+        "e4_run_paid_by_state": lambda s, d: report_types(
+            read_curated(s, f"{etl_run(s, d)}/curated_paid_by_state", CURATED_PAID_FIELDS)
+        ),
+        "e4_run_errors": lambda s, d: s.read.parquet(f"{etl_run(s, d)}/validation_errors"),
+        "e4_run_summary": lambda s, d: _summary_rows(s, f"{etl_run(s, d)}/analytics_summary"),
+    }
+
+
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.check(raw_claims(spark, sf_dir))
 
@@ -97,7 +167,7 @@ def curated_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def etl_queries() -> dict[str, Query]:
     return {
-        "e1_raw_claims": lambda s, d: raw_claims(s, d),
+        "e1_raw_claims": lambda s, d: raw_claims(s, d).select(*RAW_FIELDS),
         "e2_validation_errors": lambda s, d: Q.validation_errors(_checked(s, d)),
         "e2_valid_claims": lambda s, d: report_types(Q.valid_claims(_checked(s, d))),
         "e2_quality_counts": lambda s, d: Q.quality_counts(_checked(s, d)),
@@ -141,9 +211,22 @@ RESPONSE_SEED = "resp"
 
 
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classified = N.classify_denial_notes(denial_notes(spark, sf_dir))
+    """Replies as a classifier sends them, in its own spelling and not by the library's writer: some broken."""
+    notes = denial_notes(spark, sf_dir)
     b = md5_bucket(F.col("claim_id"), RESPONSE_SEED)
-    return N.classifier_responses(classified, malformed=b < 5, empty=(b >= 5) & (b < 8))
+    entry = lambda category, confidence: F.concat(F.lit('[ {"category" : "' + category + '", "confidence": ' + confidence + ', "note":"'), F.col("note"), F.lit('"} ]'))
+    text = (
+        F.when(b < 5, F.concat(F.lit('[{"note": "'), F.col("note")))
+        .when(b < 8, F.lit(" [] "))
+        .when(b < 10, F.lit('{"error":"rate limited"}'))
+        .when(b < 12, F.lit("[null]"))
+        .when(b < 14, entry("BANANA", "0.7"))
+        .when(b < 16, entry("OTHER", "7"))
+        .when(b < 18, entry("OTHER", '"high"'))
+        .when(b < 60, entry("CODING_ERROR", "0.75"))
+        .otherwise(entry("ELIGIBILITY_ISSUE", "1"))
+    )
+    return notes.select("claim_id", text.alias("response"))
 
 
 def text_queries() -> dict[str, Query]:
@@ -170,21 +253,19 @@ def streamed_valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     read back: the same rows as the batch valid claims."""
     import uuid
 
-    from carelake.sources.layer import layer_path
     from carelake.streaming.landing import LandingPaths, start_landing_ingest
 
     feed = raw_feed(spark, sf_dir)
     root = f"{layer_path(spark, sf_dir)}_stream/{uuid.uuid4().hex}"
     paths = LandingPaths(feed, f"{root}/claims", f"{root}/errors", f"{root}/checkpoint")
     start_landing_ingest(spark, paths).awaitTermination()
-    from carelake.schema import RAW_FIELDS
-
     return report_types(spark.read.parquet(paths.claims_dir).select(*RAW_FIELDS))
 
 
 def all_queries() -> dict[str, Query]:
     out = analytics_queries()
     out.update(etl_queries())
+    out.update(run_queries())
     out.update(segment_queries())
     out.update(text_queries())
     out["s1_streamed_valid_claims"] = streamed_valid_claims

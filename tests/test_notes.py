@@ -3,25 +3,15 @@
 import pandas as pd
 
 from carelake.plans import notes as N
-from carelake.sources.tables import DENIAL_NOTE_TEXTS
+from carelake.oracle import LABELLED_NOTES
 
 
-def test_rules_cover_taxonomy(spark):
-    df = spark.createDataFrame(
-        [(str(i), t) for i, t in enumerate(DENIAL_NOTE_TEXTS)] + [("n", None), ("e", "  ")],
-        "claim_id string, note string",
-    )
+def test_rules_match_hand_labels(spark):
+    labelled = {t: (c, v) for t, c, v in LABELLED_NOTES}
+    assert len(labelled) >= 60 and {c for c, _ in labelled.values()} == set(N.CATEGORIES)
+    df = spark.createDataFrame([(t, t) for t in labelled] + [("n", None), ("e", "  ")], "claim_id string, note string")
     got = {r.claim_id: (r.category, r.confidence) for r in N.classify_denial_notes(df).collect()}
-    assert [got[str(i)][0] for i in range(7)] == [
-        "AUTHORIZATION_MISSING",
-        "TIMELY_FILING",
-        "ELIGIBILITY_ISSUE",
-        "CODING_ERROR",
-        "DUPLICATE_CLAIM",
-        "MEDICAL_NECESSITY",
-        "OTHER",
-    ]
-    assert got["n"] == ("OTHER", 0.0) and got["e"] == ("OTHER", 0.0)
+    assert got == labelled | {"n": ("OTHER", 0.0), "e": ("OTHER", 0.0)}
 
 
 def test_custom_scorer(spark):
@@ -35,22 +25,21 @@ def test_custom_scorer(spark):
 
 
 def test_parse_classifications(spark):
-    df = spark.createDataFrame(
-        [
-            ("a", '[{"note":"x","category":"CODING_ERROR","confidence":0.9},{"note":"y","category":"OTHER","confidence":0.5}]'),
-            ("b", "[]"),
-            ("c", '[{"note": "trunc'),
-        ],
-        "claim_id string, response string",
-    )
-    got = sorted(tuple(r) for r in N.parse_classifications(df).select(
-        "claim_id", "parse_status", "note", "category").collect())
-    assert got == [
-        ("a", "ok", "x", "CODING_ERROR"),
-        ("a", "ok", "y", "OTHER"),
-        ("b", "empty", None, None),
-        ("c", "malformed", None, None),
+    bad = [
+        None, "", '[{"note": "trunc', '{"error":"rate limited"}', "[null]", "3", '[{"note":"x","category":"BANANA","confidence":0.7}]',
+        '[{"note":"x","category":"OTHER","confidence":7}]', '[{"note":"x","category":"OTHER","confidence":"high"}]',
+        '[{"category":"OTHER","confidence":0.5}]', '[{"note":null,"category":"OTHER","confidence":0.5}]',
+        '[{"note":"y","category":"OTHER","confidence":0.5}, 1]',
+    ]
+    rows = [
+        ("a", '[{"note":"x","category":"CODING_ERROR","confidence":0.9},{"note":"y","category":"OTHER","confidence":0, "more": 1}]'),
+        ("b", " [] "),
+        *[(f"c{i}", t) for i, t in enumerate(bad)],
     ]
+    df = spark.createDataFrame(rows, "reply_id string, response string")
+    got = sorted((tuple(r) for r in N.parse_classifications(df, id_col="reply_id").collect()), key=str)
+    want = [("a", "ok", None, "x", "CODING_ERROR", 0.9), ("a", "ok", None, "y", "OTHER", 0.0), ("b", "empty", None, None, None, None)]
+    assert got == sorted([*want, *[(f"c{i}", "malformed", t, None, None, None) for i, t in enumerate(bad)]], key=str)
 
 
 def test_summary_text(spark, data_path):

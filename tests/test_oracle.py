@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from carelake.compare import compare, duck
+from carelake.oracle import all_sql as oracle_sql
+from carelake.plans.registry import all_queries as queries
 
 NAMES = sorted(queries())
 
