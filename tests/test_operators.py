@@ -133,3 +133,26 @@ def test_hot_member_is_split_across_tasks(spark):
     assert hot_total == 2000
     assert plain_max == hot_total  # member-wide window: all in one task
     assert day_max < hot_total / 4
+
+
+def test_hot_member_day_is_many_tasks(spark):
+    rows = [(f"c{i:05d}", "hot", "2024-03-01", float(i % 7)) for i in range(4000)]
+    rows += [(f"d{i:05d}", "hot" if i % 2 else f"m{i % 9}", f"2024-0{1 + i % 8}-1{i % 9}", 1.5) for i in range(500)]
+    df = spark.createDataFrame(rows, "claim_id string, member_id string, d string, a double").select(
+        "claim_id", "member_id", F.col("d").cast("date").alias("service_date"), F.col("a").cast("decimal(18,4)").alias("paid_amount")
+    )
+    cols = ["claim_id", "member_cumulative_paid", "prev_claim_date", "days_since_last_claim"]
+    want = sorted(map(str, plain_member_windows(df).select(*cols).collect()))
+    got = member_windows(df, bands=12)
+    assert [r.split("member_cumulative_paid")[0] for r in want] == sorted(r.split("member_cumulative_paid")[0] for r in map(str, got.select(*cols).collect()))
+    assert {(r[0], float(r[1]), r[2], r[3]) for r in got.select(*cols).collect()} == {(r[0], float(r[1]), r[2], r[3]) for r in plain_member_windows(df).select(*cols).collect()}
+
+
+def test_readmissions_of_a_hot_bin_are_shared_out(spark, monkeypatch):
+    from carelake.operators import readmission
+
+    rows = [(f"c{i}", "hot" if i % 3 else "m", f"2024-01-{1 + i % 28:02d}", "IP", "PAID") for i in range(90)]
+    df = spark.createDataFrame(rows, "claim_id string, member_id string, d string, claim_type string, claim_status string").withColumn("service_date", F.col("d").cast("date"))
+    want = sorted(map(tuple, readmission.readmission_pairs(df).collect()))
+    monkeypatch.setattr(readmission, "STAYS_PER_TASK", 7)
+    assert sorted(map(tuple, readmission.readmission_pairs(df).collect())) == want and len(want) > 500
