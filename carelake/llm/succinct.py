@@ -74,30 +74,32 @@ class WaveletTree:
             self.bits.append(BitVector(bit.astype(bool)))
             self.zeros.append(int(len(text) - bit.sum()))
             text = np.concatenate([text[bit == 0], text[bit == 1]])
-
-    def rank(self, symbol: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each symbol, where its copies begin in the tree's last level, and its rank before ``at`` and ``end``."""
-        zero = np.zeros_like(at)
+        # Where each symbol's copies begin in the last level.
+        present, first = np.unique(text, return_index=True)
+        self.leaf = np.zeros(int(present.max()) + 1 if len(present) else 1, np.int64)
+        order = np.argsort(first)
+        size = np.diff(np.r_[first[order], len(text)])
+        self.leaf[present[order]] = np.cumsum(size) - size
+
+    def rank(self, symbol: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many copies of each symbol (of the text) lie before ``at`` and before ``end``."""
         for i, (bits, zeros) in enumerate(zip(self.bits, self.zeros)):
             one = ((symbol >> (self.levels - 1 - i)) & 1).astype(bool)
-            a, b, z = bits.rank(at), bits.rank(end), bits.rank(zero)
+            a, b = bits.rank(at), bits.rank(end)
             at = np.where(one, zeros + a, at - a)
             end = np.where(one, zeros + b, end - b)
-            zero = np.where(one, zeros + z, zero - z)
-        return zero, at - zero, end - zero
+        return at - self.leaf[symbol], end - self.leaf[symbol]
 
     def split(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The distinct symbols of every range: index of the range, symbol, rank before the range, rank at its end."""
         which, symbol = np.arange(len(begin)), np.zeros(len(begin), np.int64)
-        zero = np.zeros_like(begin)
         for bits, zeros in zip(self.bits, self.zeros):
-            a, b, z = bits.rank(begin), bits.rank(end), bits.rank(zero)
+            a, b = bits.rank(begin), bits.rank(end)
             left, right = np.flatnonzero(end - b > begin - a), np.flatnonzero(b > a)
             which = np.concatenate([which[left], which[right]])
             symbol = np.concatenate([symbol[left] * 2, symbol[right] * 2 + 1])
-            zero = np.concatenate([(zero - z)[left], zeros + z[right]])
             begin, end = np.concatenate([(begin - a)[left], zeros + a[right]]), np.concatenate([(end - b)[left], zeros + b[right]])
-        return which, symbol, begin - zero, end - zero
+        return which, symbol, begin - self.leaf[symbol], end - self.leaf[symbol]
 
 
 class FmIndex:
@@ -107,7 +109,8 @@ class FmIndex:
         self.depth, self.n = depth, len(text)
         self.order, self.suffix_rank = bounded_order(text, depth)
         symbols = int(text.max()) + 1 if len(text) else 1
-        self.bwt = WaveletTree(text[self.order - 1], max(1, int(symbols - 1).bit_length()))
+        self.last = text[self.order - 1]
+        self.bwt = WaveletTree(self.last, max(1, int(symbols - 1).bit_length()))
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
 
     def runs(self, depth: int, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,30 +123,44 @@ class FmIndex:
 
     def extend(self, symbol: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward step: the ranges of symbol + pattern, from the patterns' ranges."""
-        _, low, high = self.bwt.rank(symbol, begin, end)
+        low, high = self.bwt.rank(symbol, begin, end)
         return self.first[symbol] + low, self.first[symbol] + high
 
+    def steps(self) -> np.ndarray:
+        """Backward step from each single place by the symbol before it."""
+        step = np.empty(self.n, np.int64)
+        step[np.argsort(self.last, kind="stable")] = np.arange(self.n)
+        return step
+
     def boundaries(self, length: int) -> np.ndarray:
         """Where neighbours in the order share fewer than ``length`` symbols (place 0 and n included).
 
         Breadth first: the ranges of all strings of one length are extended backwards by every symbol
         before them. The end of a new range whose string has d + 1 symbols is a place where the common
         prefix is d, unless a shorter string ended there; only then is the range followed further.
-        Common prefixes so appear by increasing value, and the walk stops before ``length``.
+        Common prefixes so appear by increasing value, and the walk stops before ``length``. A range
+        of one place has one symbol before it, so its step needs no search.
         """
         marked = np.zeros(self.n + 1, bool)
         marked[[0, self.n]] = True
-        begin, end = np.array([0]), np.array([self.n])
+        step = self.steps()
+        begin, end, single = np.array([0]), np.array([self.n]), np.zeros(0, np.int64)
         for _ in range(length):
-            fresh_begin, fresh_end = [], []
+            low_parts, high_parts = [], []
             for at in range(0, len(begin), 1 << 18):
                 _, symbol, low, high = self.bwt.split(begin[at : at + (1 << 18)], end[at : at + (1 << 18)])
                 low, high = self.first[symbol] + low, self.first[symbol] + high
                 new = ~marked[high]
-                fresh_begin.append(low[new])
-                fresh_end.append(high[new])
-            begin, end = np.concatenate(fresh_begin), np.concatenate(fresh_end)
+                low_parts.append(low[new])
+                high_parts.append(high[new])
+            single = step[single]
+            single = single[~marked[single + 1]]
+            begin, end = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (low_parts, high_parts))
             marked[end] = True
-            if not len(begin):
+            marked[single + 1] = True
+            alone = end - begin == 1
+            single = np.concatenate([single, begin[alone]])
+            begin, end = begin[~alone], end[~alone]
+            if not len(begin) and not len(single):
                 break
         return marked

@@ -52,7 +52,8 @@ def earliest_by_expansion(symbols: np.ndarray, windows: np.ndarray, position: np
     span = windows + length - 1
     text = np.zeros(int(span.sum()) + len(span), np.int64)  # segments, a 0 after each
     begin = np.cumsum(span + 1) - span - 1
-    text[spread(begin, span)] = symbols.astype(np.int64) + 1
+    dense = np.cumsum(np.bincount(symbols, minlength=256) > 0)  # the bytes that occur, from 1
+    text[spread(begin, span)] = dense[symbols]
     index = FmIndex(text, length)
     group = np.cumsum(index.boundaries(length)[:-1]) - 1
     of_suffix = np.empty(len(text), np.int64)

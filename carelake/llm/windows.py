@@ -226,7 +226,7 @@ def covered_windows(docs: DataFrame, plan: Plan, load: Callable[[pa.Table], Bloc
         for s in np.flatnonzero(np.diff(begin)).tolist():
             f = first[begin[s] : begin[s + 1]]
             symbols = block.symbols[spread(start[f], count[f] + plan.window - 1)]
-            rows.append((s, name, _bytes(count[f], "<u2"), _bytes(block.at[row[f]], "<i8"), _bytes(start[f] - block.begin[row[f]], "<i8"), _bytes(symbols, number)))
+            rows.append((s, name, _bytes(count[f], "<u2"), _bytes(block.at[row[f]], "<i8"), _bytes(start[f] - block.begin[row[f]], "<i8") if plan.same_document else b"", _bytes(symbols, number)))
         return _table(rows, ["route", "block", "a", "b", "c", "d"], [pa.int32()] * 2 + [pa.binary()] * 4)
 
     def judge(table: pa.Table) -> pa.Table:
@@ -235,7 +235,8 @@ def covered_windows(docs: DataFrame, plan: Plan, load: Callable[[pa.Table], Bloc
         if route < 0:  # a block's own notes
             return pa.table([table["block"], table["route"], table["a"], table["b"], table["c"], table["d"]], names=names)
         read = lambda name, t: np.concatenate([np.frombuffer(x, t) for x in table[name].to_pylist()])
-        count, at, start = read("a", "<u2").astype(np.int64), read("b", "<i8"), read("c", "<i8")
+        count, at = read("a", "<u2").astype(np.int64), read("b", "<i8")
+        start = read("c", "<i8") if plan.same_document else np.zeros(len(at), np.int64)
         symbols = read("d", number)
         span = count + plan.window - 1
         begin = np.cumsum(span) - span
@@ -258,7 +259,7 @@ def covered_windows(docs: DataFrame, plan: Plan, load: Callable[[pa.Table], Bloc
             covered |= (row_at[least[where]] == own_at) & (row_start[least[where]] < own_start)
         sizes = [len(x) // 2 for x in table["a"].to_pylist()]
         ends = np.cumsum(count)[np.cumsum(sizes) - 1]
-        rows = [(b, route, bits.tobytes(), None, None, None) for b, bits in zip(table["block"].to_pylist(), np.split(covered, ends[:-1]))]
+        rows = [(b, route, np.packbits(bits).tobytes(), _bytes([len(bits)], "<i8"), None, None) for b, bits in zip(table["block"].to_pylist(), np.split(covered, ends[:-1]))]
         return _table(rows, names, types)
 
     def end(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -270,7 +271,9 @@ def covered_windows(docs: DataFrame, plan: Plan, load: Callable[[pa.Table], Bloc
             row, start, count, unique = (note[k] for k in "abcd")
             _, owner = np.unique(unique, return_index=True)
             begin = np.cumsum(count[owner]) - count[owner]  # of each distinct segment's windows, by shard
-            flags = np.frombuffer(b"".join(answers["a"].slice(1).to_pylist()), bool)
+            told = answers.slice(1)
+            flags = [np.unpackbits(np.frombuffer(a, np.uint8), count=int.from_bytes(n, "little")) for a, n in zip(told["a"].to_pylist(), told["b"].to_pylist())]
+            flags = np.concatenate([np.zeros(0, np.uint8), *flags]).astype(bool)
             at, place = block.at[row], spread(start, count)
             flag = flags[spread(begin[unique], count)]
             later = at > at[owner][unique]
