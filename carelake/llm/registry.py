@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, imatch, mixing, multi_index, pii, quality_crf, secrets, shingle_join, substring_dedup, suffix_dedup
+from carelake.llm import bpe, imatch, mixing, multi_index, pii, quality_crf, secrets, shingle_join, sql, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
@@ -21,4 +21,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.OP3_SQL}
+    return {
+        "op3_mixing": mixing.OP3_SQL,
+        "op4_substring_dedup": sql.OP4_SQL,
+        "op6_shingle_join": sql.OP6_SQL,
+        "op9_suffix_dedup": sql.OP9_SQL,
+    }
