@@ -19,6 +19,7 @@ from carelake.plans.transform import curated_paid, derive, transform
 from carelake.schema import CORRUPT, CURATED_PAID_FIELDS, RAW_FIELDS
 from carelake.sources.files import read_claims_csv, read_curated, read_raw_csv, register, run_sql
 from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, mixed_feed, raw_feed
+from carelake.sources.sinks import remove
 from carelake.sources.tables import notes_from_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,7 +257,9 @@ def streamed_valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelake.streaming.landing import LandingPaths, start_landing_ingest
 
     feed = raw_feed(spark, sf_dir)
-    root = f"{layer_path(spark, sf_dir)}_stream/{uuid.uuid4().hex}"
+    runs = f"{layer_path(spark, sf_dir)}_stream"
+    remove(spark, runs)  # earlier runs' copies
+    root = f"{runs}/{uuid.uuid4().hex}"
     paths = LandingPaths(feed, f"{root}/claims", f"{root}/errors", f"{root}/checkpoint")
     start_landing_ingest(spark, paths).awaitTermination()
     return report_types(spark.read.parquet(paths.claims_dir).select(*RAW_FIELDS))

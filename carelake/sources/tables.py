@@ -38,7 +38,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.functions.joins import bounded
 from carelake.schema import MONEY, RAW_FIELDS
 
 ORDER_FIELDS = {"member_id", "state_code", "plan_id", "provider_type"}
@@ -141,9 +140,8 @@ def _joined(spark: SparkSession, sf_dir: str, fields: set[str]) -> DataFrame:
                 "c_custkey", "c_nationkey", "c_mktsegment"
             )
             if "state_code" in fields:
-                nation = bounded(
-                    read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-                )
+                # its size decides whether the planner broadcasts it
+                nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
                 cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
             orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
         df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
