@@ -128,3 +128,34 @@ def test_bands_do_not_depend_on_the_plan(spark, reuse):
         assert float(exact_median(df, "v", "k", bands=7).first().median) == median([7 if i % 3 == 0 else i % 50 for i in range(3000)])
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_nulls_odd_numbers_and_lengths_are_reported(spark, tmp_path):
+    def row(**change):
+        values = dict(zip(RAW_FIELDS, line("C1", "M1").split(","))) | change
+        return ",".join(values[f] for f in RAW_FIELDS)
+
+    rows = [
+        row(claim_id=""), row(claim_id="C2", service_date=""), row(claim_id="C3", claim_status=""), row(claim_id="C4", paid_amount=""),
+        row(claim_id="C5", billed_amount="1.0d"), row(claim_id="C6", paid_amount="1e3"), row(claim_id="C7") + ",x,y", row(claim_id="C8", claim_status="NULL"),
+    ]
+    (tmp_path / "x.csv").write_text("\n".join([HEAD, *rows]) + "\n")
+    checked = check(read_raw_csv(spark, str(tmp_path / "x.csv")))
+    got = sorted(((r.claim_id or ""), r.rule, r.field) for r in validation_errors(checked).collect())
+    assert got == sorted([
+        ("", "NULL_VALUE", "claim_id"), ("C2", "NULL_VALUE", "service_date"), ("C3", "NULL_VALUE", "claim_status"), ("C3", "UNKNOWN_CLAIM_STATUS", "claim_status"),
+        ("C4", "NULL_VALUE", "paid_amount"), ("C4", "NON_NUMERIC", "paid_amount"), ("C5", "NON_NUMERIC", "billed_amount"), ("C7", "MALFORMED_ROW", "_corrupt_record"),
+        ("C8", "NULL_VALUE", "claim_status"), ("C8", "UNKNOWN_CLAIM_STATUS", "claim_status"),
+    ])
+    assert [(r.claim_id, float(r.paid_amount)) for r in valid_claims(checked).collect()] == [("C6", 1000.0)]
+
+
+def test_reports_come_sorted(spark, data_path):
+    from carelake.plans import analytics as A
+    from carelake.sources.files import read_claims_csv
+
+    claims = read_claims_csv(spark, data_path("claims_fixture.csv"))
+    paid = [r.total_paid for r in A.spend_by_state_plan(claims).collect()]
+    assert len(paid) > 1 and paid == sorted(paid, reverse=True)
+    months = [(r.service_month, r.claim_type) for r in A.monthly_spend_trend(claims).collect()]
+    assert len(months) > 1 and months == sorted(months)
