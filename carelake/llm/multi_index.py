@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import read_table, stage
 
-CENTROIDS, SAMPLE, PROBE = 64, 20_000, 0.55
+CENTROIDS, SAMPLE, PROBE = 64, 20_000, 0.65
 #: Entries and queries of one block.
 ENTRY_BLOCK, QUERY_BLOCK = 16_384, 4_096
+#: Queries that one task walks the index for.
+QUERIES_PER_TASK = 256
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 5) -> np.ndarray:
@@ -120,8 +122,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
 
     asked = rows.where(is_query).groupBy("v").agg(F.min("vec_id").alias("q"))
     asked = stage(asked, "ann-queries")
+    n_asked = asked.count()
     entry_blocks = np.maximum(1, -(-count.sum(1) // entry_block))
-    query_blocks = max(1, -(-asked.count() // query_block))
+    query_blocks = max(1, -(-n_asked // query_block))
+    asked = asked.repartition(1 + n_asked // QUERIES_PER_TASK, "q")  # the walk is long work on few bytes
     shared = spark.sparkContext.broadcast(count)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
