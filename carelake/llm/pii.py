@@ -106,10 +106,8 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: fl
     of_entity = contexts.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support)
     pairs = contexts.select("entity", F.explode(terms_in(F.col("context"))).alias("term")).groupBy("entity", "term").agg(F.count("*").alias("together"))
     pairs = stage(pairs.where(F.col("together") >= support).join(of_entity, "entity"), "pii-pairs")
-    # Its size on disk decides whether the join below broadcasts these.
-    wanted = stage(pairs.select("term").distinct(), "pii-terms")
     words = docs.select(F.explode(terms_in(F.col("_text"))).alias("term"))
-    of_term = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
+    of_term = words.groupBy("term").agg(F.count("*").alias("of_term"))  # summed up before any row moves
     n = docs.count()
     content = F.log2(F.lit(float(max(n, 1))) / F.col("of_entity"))
     reveals = F.log2(F.lit(float(max(n, 1))) * F.col("together") / (F.col("of_entity") * F.greatest("of_term", "together")))
