@@ -74,7 +74,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     kept = [f"_carry{i}" for i in range(len(carry))]
     words = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col("text"), *[F.col(c).alias(k) for k, c in zip(kept, carry)])
     keyed = words.select("doc_id", "source", "size", *kept, (-F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"))
-    sized = stage(keyed.withColumn("band", F.least(F.floor(bands * (1 - F.exp(-F.col("key")))), F.lit(bands - 1)).cast("int")), "mix")
+    keyed = keyed.withColumn("band", F.least(F.floor(bands * (1 - F.exp(-F.col("key")))), F.lit(bands - 1)).cast("int"))
+    sized = stage(keyed.drop(*kept), "mix")
 
     target = source_targets(sized, weights, share, cap)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -83,7 +84,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     sums = sized.groupBy("source", "band").agg(F.sum("size").alias("band_size")).withColumn("until", F.sum("band_size").over(running))
     plan = sums.alias("b").join(target.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select("b.source", "b.band", "t.source_size", "t.target", "t.epochs", "t.rest", (F.col("until") - F.col("band_size")).alias("begin"), "until")
 
-    rows = sized.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.band") == F.col("p.band")))
+    # Carried columns aren't written: sizes and keys follow from the row and are made again beside them.
+    rows = (keyed if kept else sized).alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.band") == F.col("p.band")))
     rows = rows.select("d.doc_id", "d.source", "d.size", *[f"d.{k}" for k in kept], "d.key", "d.band", "p.source_size", "p.target", "p.epochs", "p.rest", "p.begin", "p.until")
     ends_here = (F.col("begin") < F.col("rest")) & (F.col("rest") < F.col("until"))
     whole = rows.where(~ends_here).withColumn("chosen", F.col("until") <= F.col("rest"))
