@@ -6,15 +6,21 @@ estimated from co-occurrence in the corpus: a term discloses an entity if
 their pointwise mutual information reaches ``alpha`` of the entity's
 information content,
 
-    log2(N * together / (of_entity * of_term)) >= alpha * log2(N / of_entity),
-
-where N counts documents, of_term the documents with the term (all of them are
-read), of_entity the entity's distinct contexts and together those contexts
-that hold the term. A context is the text within ``reach`` characters of the
-entity, so that copies of one passage are one observation; ``support``
-observations are needed. In documents that name the entity, its disclosing
-terms become spans of kind "term": they are generalised to a placeholder, or
-removed from ``remove`` of the information content on.
+    log2(N * share / of_entity) >= alpha * log2(N / of_entity),
+
+where N counts documents, of_entity the documents with the entity, and share
+is the lower end (one-sided, 95 %) of Wilson's interval for the part of the
+term's documents that hold the entity. Whole texts count, every entity and
+every term of its documents is judged, and there is no least count: a term
+seen once with an entity has a share of 0.27, one seen ten times and always
+with it 0.79. In documents that name the entity, its disclosing terms become
+spans of kind "term": they are generalised to a placeholder, or removed from
+``remove`` of the information content on.
+
+With ``reach``, a narrower estimate: only the text within so many characters of
+the entity counts, equal surroundings are one observation, of_entity and the
+joint count are in such observations, at least ``support`` of them, and the
+share is the plain quotient by the documents with the term.
 
 Cases: a null text counts as empty; rows that repeat an id are judged each;
 matches that fail their check are dropped without another try; an empty table
@@ -34,6 +40,8 @@ from carelake.llm.common import read_table, stage
 
 SPAN = "array<struct<kind:string,start:int,stop:int,value:string>>"
 TERM = r"\p{L}+"
+#: One-sided 95 %.
+Z = 1.645
 
 
 def _digits(m: Column) -> Column:
@@ -95,8 +103,18 @@ def terms_in(text: Column) -> Column:
     return F.filter(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))), lambda t: F.length(t) >= 3)
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: float, support: int, reach: int) -> DataFrame:
-    """entity, term, removed. ``found``: text and base; ``docs``: _text of all documents."""
+def entities(base: Column) -> Column:
+    return F.array_distinct(F.transform(base, lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+
+
+def lower_share(part: Column, whole: Column) -> Column:
+    """Lower end of Wilson's interval for part / whole."""
+    p, z2 = part / whole, Z * Z
+    return (p + z2 / (2 * whole) - Z * F.sqrt(p * (1 - p) / whole + z2 / (4 * whole * whole))) / (1 + z2 / whole)
+
+
+def near_pairs(found: DataFrame, support: int, reach: int) -> DataFrame:
+    """entity, term, together, of_entity: counts of distinct surroundings."""
     spans = found.where(F.size("base") > 0).select("text", "base", F.explode("base").alias("s"))
     before = F.substring(F.col("text"), F.greatest(F.lit(1), F.col("s.start") + 1 - reach), F.least(F.lit(reach), F.col("s.start")))
     after = F.substring(F.col("text"), F.col("s.stop") + 1, F.lit(reach))
@@ -105,17 +123,31 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: fl
     contexts = contexts.select("entity", "context", F.xxhash64("context").alias("c")).dropDuplicates(["entity", "c"])
     of_entity = contexts.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support)
     pairs = contexts.select("entity", F.explode(terms_in(F.col("context"))).alias("term")).groupBy("entity", "term").agg(F.count("*").alias("together"))
-    pairs = stage(pairs.where(F.col("together") >= support).join(of_entity, "entity"), "pii-pairs")
+    return pairs.where(F.col("together") >= support).join(of_entity, "entity")
+
+
+def document_pairs(found: DataFrame) -> DataFrame:
+    """entity, term, together, of_entity: counts of documents, over whole texts."""
+    holders = found.where(F.size("base") > 0).select(entities(F.col("base")).alias("entities"), "text")
+    of_entity = holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("of_entity"))
+    pairs = holders.select(F.explode("entities").alias("entity"), terms_in(F.col("text")).alias("terms")).select("entity", F.explode("terms").alias("term"))
+    return pairs.groupBy("entity", "term").agg(F.count("*").alias("together")).join(of_entity, "entity")
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: float, support: int, reach: int | None) -> DataFrame:
+    """entity, term, removed, together, of_term. ``found``: text and base; ``docs``: _text of all documents."""
+    pairs = stage(document_pairs(found) if reach is None else near_pairs(found, support, reach), "pii-pairs")
     words = docs.select(F.explode(terms_in(F.col("_text"))).alias("term"))
     of_term = words.groupBy("term").agg(F.count("*").alias("of_term"))  # summed up before any row moves
-    n = docs.count()
-    content = F.log2(F.lit(float(max(n, 1))) / F.col("of_entity"))
-    reveals = F.log2(F.lit(float(max(n, 1))) * F.col("together") / (F.col("of_entity") * F.greatest("of_term", "together")))
+    n = float(max(docs.count(), 1))
+    share = lower_share(F.col("together"), F.col("of_term")) if reach is None else F.col("together") / F.greatest("of_term", "together")
+    content = F.log2(F.lit(n) / F.col("of_entity"))
+    reveals = F.log2(F.lit(n) * share / F.col("of_entity"))
     told = pairs.join(of_term, "term").where((content > 0) & (reveals >= alpha * content))
-    return told.select("entity", "term", (reveals >= remove * content).alias("removed"))
+    return told.select("entity", "term", (reveals >= remove * content).alias("removed"), "together", "of_term")
 
 
-def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.8, remove: float = 0.95, support: int = 3, reach: int = 80) -> DataFrame:
+def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.8, remove: float = 0.95, support: int = 1, reach: int | None = None) -> DataFrame:
     """A row for each row: doc_id, base and spans (arrays of kind, start, stop, value), sanitised (null where nothing
     changes) and the columns named in ``carry``."""
     kept = [F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)]
@@ -127,8 +159,7 @@ def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.
     told = disclosing_terms(found, rows, alpha, remove, support, reach)
 
     holders = found.where(F.size("base") > 0)
-    entity = F.explode(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
-    due = holders.select("_row", entity.alias("entity")).distinct().join(told, "entity")
+    due = holders.select("_row", F.explode(entities(F.col("base"))).alias("entity")).join(told, "entity")
     due = due.groupBy("_row", "term").agg(F.max("removed").alias("removed"))
     # Places of the due terms in their documents.
     affected = holders.join(due.select("_row").distinct(), "_row").select("_row", "text")
