@@ -13,14 +13,15 @@ is the lower end (one-sided, 95 %) of Wilson's interval for the part of the
 term's documents that hold the entity. Whole texts count, every entity and
 every term of its documents is judged, and there is no least count: a term
 seen once with an entity has a share of 0.27, one seen ten times and always
-with it 0.79. In documents that name the entity, its disclosing terms become
-spans of kind "term": they are generalised to a placeholder, or removed from
-``remove`` of the information content on.
+with it 0.79. Disclosing terms become spans of kind "term" wherever they occur,
+in documents without the entity too: they are generalised to a placeholder, or
+removed if with any entity they reach ``remove`` of the information content.
 
-With ``reach``, a narrower estimate: only the text within so many characters of
+With ``reach``, a narrower method: only the text within so many characters of
 the entity counts, equal surroundings are one observation, of_entity and the
-joint count are in such observations, at least ``support`` of them, and the
-share is the plain quotient by the documents with the term.
+joint count are in such observations, at least ``support`` of them, the share
+is the plain quotient by the documents with the term, and the terms of an
+entity become spans only in documents that name it.
 
 Cases: a null text counts as empty; rows that repeat an id are judged each;
 matches that fail their check are dropped without another try; an empty table
@@ -33,15 +34,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.common import read_table, stage
 
 SPAN = "array<struct<kind:string,start:int,stop:int,value:string>>"
+PLACE = "array<struct<start:int,stop:int,word:string,removed:boolean>>"
 TERM = r"\p{L}+"
 #: One-sided 95 %.
 Z = 1.645
+#: Numbers that may be broadcast to leave rows out before a shuffle; with more, all rows move.
+MOST_KEYS = 2_000_000
 
 
 def _digits(m: Column) -> Column:
@@ -147,38 +151,68 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: fl
     return told.select("entity", "term", (reveals >= remove * content).alias("removed"), "together", "of_term")
 
 
+def with_key(rows: DataFrame, key: Column, keys: DataFrame, most: int = MOST_KEYS) -> DataFrame:
+    """The rows whose key (a long) is among ``keys`` (column k), or all rows if these are too many; a join decides later."""
+    keys = keys.distinct()
+    if keys.limit(most + 1).count() > most:
+        return rows
+    return rows.withColumn("k", key).join(F.broadcast(keys), "k", "left_semi").drop("k")
+
+
 def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.8, remove: float = 0.95, support: int = 1, reach: int | None = None) -> DataFrame:
     """A row for each row: doc_id, base and spans (arrays of kind, start, stop, value), sanitised (null where nothing
     changes) and the columns named in ``carry``."""
-    kept = [F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)]
-    rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text"), *kept)
-    base = F.concat(*[spans_of(F.col("_text"), k) for k in KINDS])
-    found = rows.withColumn("base", base)
-    found = found.select("_id", F.when(F.size("base") > 0, F.col("_text")).alias("text"), "base", F.monotonically_increasing_id().alias("_row"), *[f"_carry{i}" for i in range(len(carry))])
-    found = stage(found, "pii-base")
-    told = disclosing_terms(found, rows, alpha, remove, support, reach)
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_raw"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry) if c != "text"])
+    text = F.coalesce(F.col("_raw"), F.lit(""))
+    base = F.concat(*[spans_of(text, k) for k in KINDS])
+    found = stage(rows.withColumn("base", base).withColumn("_row", F.monotonically_increasing_id()), "pii-base")
+    found = found.withColumn("text", text)
+    told = disclosing_terms(found, rows.select(text.alias("_text")), alpha, remove, support, reach)
 
     holders = found.where(F.size("base") > 0)
-    due = holders.select("_row", F.explode(entities(F.col("base"))).alias("entity")).join(told, "entity")
-    due = due.groupBy("_row", "term").agg(F.max("removed").alias("removed"))
+    if reach is None:
+        strongest = told.groupBy("term").agg(F.max("removed").alias("removed"), (F.max("together") < F.max("of_term")).alias("elsewhere"))
+        strongest = stage(strongest, "pii-told")
+        # A term that always comes with one entity is in holders only.
+        inside = holders.select("_row", F.explode(terms_in(F.col("text"))).alias("term")).join(strongest.select("term", "removed"), "term")
+        others = found.where(F.size("base") == 0).select("_row", F.explode(terms_in(F.col("text"))).alias("term"))
+        others = with_key(others, F.xxhash64("term"), strongest.where("elsewhere").select(F.xxhash64("term").alias("k")))
+        outside = others.join(strongest.where("elsewhere").select("term", "removed"), "term")
+        due = inside.unionByName(outside)
+    else:
+        due = holders.select("_row", F.explode(entities(F.col("base"))).alias("entity")).join(told, "entity")
+        due = due.groupBy("_row", "term").agg(F.max("removed").alias("removed"))
+    due = stage(due, "pii-due")
     # Places of the due terms in their documents.
-    affected = holders.join(due.select("_row").distinct(), "_row").select("_row", "text")
-    parts = affected.select("_row", F.posexplode(F.arrays_zip(F.split("text", TERM, -1).alias("gap"), F.regexp_extract_all(F.col("text"), F.lit(TERM), F.lit(0)).alias("word"))).alias("i", "x"))
-    along = Window.partitionBy("_row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)  # one document's words
-    until = F.sum(F.length("x.gap") + F.coalesce(F.length("x.word"), F.lit(0))).over(along)
-    places = parts.select("_row", F.lower("x.word").alias("term"), F.col("x.word").alias("word"), until.cast("int").alias("stop")).join(due, ["_row", "term"])
-    span = F.struct((F.col("stop") - F.length("word")).alias("start"), "stop", "word", "removed")
-    extra = places.groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("extra"))  # one document's
+    of_row = due.groupBy("_row").agg(F.collect_list("term").alias("due"), F.collect_list(F.when(F.col("removed"), F.col("term"))).alias("gone"))  # one document's
+    affected = with_key(found.select("_row", "text"), F.col("_row"), due.select(F.col("_row").alias("k"))).join(of_row, "_row")
+    extra = affected.select("_row", places(F.col("text"), F.col("due"), F.col("gone")).alias("extra"))
 
     rows = found.join(extra, "_row", "left")
-    own = F.coalesce(F.col("extra"), F.array().cast("array<struct<start:int,stop:int,word:string,removed:boolean>>"))
+    own = F.coalesce(F.col("extra"), F.array().cast(PLACE))
     free = F.filter(own, lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     added = F.transform(free, lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["word"].alias("value"))).cast(SPAN)
     marks = F.concat(
         F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put"))),
         F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.when(s["removed"], F.lit("")).otherwise(F.lit("[TERM]")).alias("put"))),
     )
-    return rows.select(F.col("_id").alias("doc_id"), *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)], "base", F.concat("base", added).alias("spans"), F.when(F.size("base") > 0, rewritten(F.col("text"), F.array_sort(marks))).alias("sanitised"))
+    carried = [F.col("_raw" if c == "text" else f"_carry{i}").alias(c) for i, c in enumerate(carry)]
+    return rows.select(F.col("_id").alias("doc_id"), *carried, "base", F.concat("base", added).alias("spans"), F.when(F.size(marks) > 0, rewritten(F.col("text"), F.array_sort(marks))).alias("sanitised"))
+
+
+def places(text: Column, due: Column, gone: Column) -> Column:
+    """Where the words are that are due, in small letters, by start; removed: also among ``gone``."""
+    steps = F.arrays_zip(F.split(text, TERM, -1).alias("gap"), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("word"))
+
+    def step(state: Column, x: Column) -> Column:
+        word = F.coalesce(x["word"], F.lit(""))
+        start = state["at"] + F.length(x["gap"])
+        stop = start + F.length(word)
+        hit = F.struct(start.alias("start"), stop.alias("stop"), word.alias("word"), F.array_contains(gone, F.lower(word)).alias("removed"))
+        return F.struct(stop.alias("at"), F.when(F.array_contains(due, F.lower(word)), F.concat(state["out"], F.array(hit).cast(PLACE))).otherwise(state["out"]).alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(PLACE).alias("out"))
+    return F.aggregate(steps, begin, step, lambda s: s["out"])
 
 
 def rewritten(text: Column, marks: Column) -> Column:

@@ -42,13 +42,16 @@ def told_by(rows, alpha):
 
 
 def test_every_entity_is_judged_over_whole_texts(spark):
-    rows = rows_()
+    rows = rows_() + [(2001, "no address, a Copiedword")]
     told = told_by(rows, 0.75)
     assert "uniqueword" in told["email", "one@rare.org"] and "twiceword" in told["ip", "10.1.2.3"] and "copiedword" in told["email", "many@copies.org"]
     assert not any(w.startswith("plain") for e in told.values() for w in e)
+    due = set().union(*told.values())
     text = dict(rows)
     for r in P.find_private(spark.createDataFrame(rows, "doc_id bigint, text string"), alpha=0.75).collect():
         base = test_pii.plain(text[r.doc_id])
-        due = set().union(*(told[k, v.lower()] for k, _, _, v in base))
         more = [("term", m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W\d_]+", text[r.doc_id] or "") if m[0].lower() in due and not any(a < m.end() and m.start() < b for _, a, b, _ in base)]
         assert [tuple(s) for s in r.spans] == base + more
+        if r.doc_id == 2001:  # holds a disclosing term and no entity
+            assert not base and more and r.sanitised.startswith("no address, a ") and "opied" not in r.sanitised
+        assert (r.sanitised is None) == (not base + more)
