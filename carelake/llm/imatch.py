@@ -1,22 +1,21 @@
 """I-Match fingerprints with randomised lexicons.
 
-The lexicon holds the terms whose document frequency lies in a band (as shares
-of all documents, so an idf band) and whose hash falls into the drawn quarter
-of the vocabulary. Its size is bounded: a term needs ``low`` of all documents,
-so there are at most (distinct drawn terms of a mean document) / low of them,
-whatever the number of documents; that is why it may be broadcast. Frequencies
-are counted over all documents.
-
-A document keeps its distinct lexicon terms in sorted order. ``SUBSETS``
-random sub-lexicons (eight at each of four rates) each give one 32-bit hash of
-the kept terms that belong to them, 0 where there is none. The likeness of two
-fingerprints is the share of equal hashes among the sub-lexicons in which one
-of the two has terms.
-
-Cases: a text without lexicon terms uses all its distinct terms instead; if no
-sub-lexicon has any of these either (so for null, empty and blank texts, null
-counting as empty) the fingerprint is a hash of the text, with likeness 1 to
-itself and 0 to others. Equal texts have equal fingerprints. Repeated rows
+The lexicon holds all terms whose document frequency lies in a band (as shares
+of all documents, so an idf band). Its size is bounded: a term needs ``low`` of
+all documents, so there are at most (distinct terms of a mean document) / low
+of them, whatever the number of documents; that is why it may be broadcast.
+Frequencies are counted over all documents and all terms.
+
+A document keeps its distinct lexicon terms in sorted order. ``SUBSETS`` random
+sub-lexicons part the vocabulary by hash, so that every term belongs to exactly
+one of them; each gives one 32-bit hash of the kept terms that belong to it, 0
+where there is none. Fingerprints with equal hashes throughout thus mean equal
+kept terms. The likeness of two fingerprints is the share of equal hashes among
+the sub-lexicons in which one of the two has terms.
+
+Cases: a text without lexicon terms uses all its distinct terms instead; if it
+has none (null, empty and blank texts, null counting as empty) the fingerprint
+is a hash of the text, with likeness 1 to itself and 0 to others. Equal texts have equal fingerprints. Repeated rows
 give repeated results; rows that share a doc_id follow each other in text
 order; a null doc_id comes after all others; the next document of a single
 row is that row. An empty table gives an empty result. Only doc_id and text
@@ -37,10 +36,9 @@ from pyspark.sql import functions as F
 from carelake.llm.common import read_table, text_slices
 from carelake.llm.words import _powers, find_words, hash_spans, join_texts, mix
 
-#: The idf band as shares of documents; the drawn share of the vocabulary.
-LOW, HIGH, DRAWN = 0.001, 0.1, 0.25
-RATES, EACH = (1 / 16, 1 / 64, 1 / 256, 1 / 1024), 8
-SUBSETS = len(RATES) * EACH
+#: The idf band as shares of documents; the share of the vocabulary that is counted: all of it.
+LOW, HIGH, DRAWN = 0.001, 0.1, 1.0
+SUBSETS = 128
 #: Text bytes of a group of neighbours.
 PART_BYTES = 12_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -63,16 +61,13 @@ def document_terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def drawn(term: np.ndarray) -> np.ndarray:
-    return mix(term ^ np.uint64(0x5DEECE66D)) < np.uint64(int(DRAWN * 2**64))
+    """Terms that are counted."""
+    return mix(term ^ np.uint64(0x5DEECE66D)) >> np.uint64(11) < np.uint64(int(DRAWN * 2**53))
 
 
 def membership(term: np.ndarray) -> np.ndarray:
-    """Bit s of a term's number: it belongs to sub-lexicon s."""
-    bits = np.zeros(len(term), np.uint32)
-    for s in range(SUBSETS):
-        inside = mix(term + np.uint64((s + 1) * 0x9E3779B97F4A7C15 % 2**64)) < np.uint64(int(RATES[s // EACH] * 2**64))
-        bits |= inside.astype(np.uint32) << np.uint32(s)
-    return bits
+    """The sub-lexicon of a term."""
+    return ((mix(term + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) * np.uint64(SUBSETS) >> np.uint64(32)).astype(np.int64)
 
 
 def fingerprints(texts: list[str], lexicon: np.ndarray) -> list[str]:
@@ -84,17 +79,16 @@ def fingerprints(texts: list[str], lexicon: np.ndarray) -> list[str]:
     without = np.bincount(doc[kept], minlength=n) == 0
     kept |= without[doc]
     doc, term = doc[kept], term[kept]
-    bits = membership(term)
-    out = np.zeros((n, SUBSETS), np.uint32)
-    for s in range(SUBSETS):
-        own = (bits >> np.uint32(s)) & np.uint32(1) > 0
-        d, t = doc[own], term[own]
-        if not len(d):
-            continue
-        first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+    own = doc * SUBSETS + membership(term)
+    order = np.argsort(own, kind="stable")
+    own, t = own[order], term[order]
+    out = np.zeros(n * SUBSETS, np.uint32)
+    if len(t):
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         power, inverse = _powers(len(t))
         summed = np.add.reduceat(mix(t) * power, first) * inverse[first]  # the terms in order, as a polynomial
-        out[d[first], s] = (mix(summed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        out[own[first]] = (mix(summed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    out = out.reshape(n, SUBSETS)
     empty = ~out.any(axis=1)
     return ["text:" + hashlib.sha256(texts[i].encode()).hexdigest() if empty[i] else out[i].astype(">u4").tobytes().hex() for i in range(n)]
 
