@@ -118,7 +118,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     count = np.zeros((len(one), len(two)), np.int64)
     for r in listed.groupBy("a", "b").count().collect():  # a row for each pair of centres
         count[r.a, r.b] = r["count"]
-    want = probe * n
+    want = max(probe * n, k + 1)  # the query's own entry is one of them
 
     asked = rows.where(is_query).groupBy("v").agg(F.min("vec_id").alias("q"))
     asked = stage(asked, "ann-queries")
