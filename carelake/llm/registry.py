@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import bpe, centroid_search, hard_negatives, imatch, mixing, multi_index, pii, quality_crf, secrets, shingle_join, sql, substring_dedup, suffix_dedup
+from carelake.llm import bpe, centroid_search, hard_negatives, imatch, mixing, multi_index, pii, quality_crf, secrets, shingle_join, simhash, sql, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_fingerprints": imatch.op10_fingerprints,
         "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_simhash": simhash.op12_simhash,
         "op13_centroids": centroid_search.op13_centroids,
     }
 
@@ -28,7 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": sql.OP4_SQL,
         "op6_shingle_join": sql.OP6_SQL,
         "op9_suffix_dedup": sql.OP9_SQL,
-        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
         "op11_hard_negatives": hard_negatives.OP11_SQL,
         "op13_centroids": centroid_search.OP13_SQL,
     }
