@@ -1,9 +1,13 @@
 """Command line: run the ETL on landing files, or a report on curated claims.
 
     python -m carelake etl <landing_csv_path> <output_dir> [--partition-by state_code,service_year]
-    python -m carelake report <name> <curated_parquet_path> <output_path>
+    python -m carelake report <name> <curated> <output_path>
     python -m carelake reports
 
+``curated`` is a claims table, or the output folder of ``etl``: then the report
+reads the curated table of the load published there (``<folder>/<table>`` names
+another of its tables).
+
 On a cluster submit it with spark-submit; the session comes from the
 submitting environment (its checkpoint folder included).
 """
@@ -52,6 +56,19 @@ def _reports() -> dict:
     }
 
 
+def curated_claims(spark: SparkSession, path: str) -> DataFrame:
+    """The claims of a table, or of the load published in the folder or for the table named."""
+    from carelake.sources.files import read_layout
+    from carelake.sources.published import LAYOUTS, latest, read_published
+
+    folder, _, table = path.rstrip("/").rpartition("/")
+    if latest(spark, path):
+        return read_published(spark, path, "curated_claims")
+    if table in LAYOUTS and latest(spark, folder):
+        return read_published(spark, folder, table)
+    return read_layout(spark, path)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="carelake")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -73,13 +90,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"carelake-{args.cmd}").getOrCreate()
     if args.cmd == "etl":
         from carelake.plans.etl import run_etl
-        from carelake.sources.files import read_raw_csv
+        from carelake.sources.files import read_raw_lines
 
-        raw = read_raw_csv(spark, args.landing, with_source=True)
-        res = run_etl(spark, raw, args.output, partition_keys=tuple(args.partition_by.split(",")))
+        res = run_etl(spark, read_raw_lines(spark, args.landing), args.output, partition_keys=tuple(args.partition_by.split(",")))
         print(json.dumps({k: v for k, v in res.counts.items()}, default=str))
     else:
-        claims = spark.read.parquet(args.curated)
+        claims = curated_claims(spark, args.curated)
         out: DataFrame = _reports()[args.name](claims)
         out.write.mode("overwrite").parquet(args.output)
     return 0

@@ -32,7 +32,9 @@ from carelake.schema import (
     CLAIM_STATUSES,
     CLAIM_TYPES,
     CORRUPT,
+    LINE_KIND,
     NA_TOKENS,
+    PLACE_FIELDS,
     RAW_FIELDS,
     REQUIRED_FIELDS,
 )
@@ -138,15 +140,19 @@ def check(raw: DataFrame) -> DataFrame:
     """
     require_columns(raw)
     norm = _missing_to_null(raw)
-    if CORRUPT in norm:
-        norm[CORRUPT] = F.col(CORRUPT)  # kept as it is
+    for c in (CORRUPT, LINE_KIND, *PLACE_FIELDS):
+        if c in norm:
+            norm[c] = F.col(c)  # kept as it is
     normalized = raw.select(
         *[e.alias(c) for c, e in norm.items()],
         as_money(norm["billed_amount"]).alias(PARSED["billed_amount"]),
         as_money(norm["paid_amount"]).alias(PARSED["paid_amount"]),
         parse_date(norm["service_date"]).alias(PARSED["service_date"]),
     )
-    return normalized.select("*", _invalid_expr(rules(CORRUPT in raw.columns)).alias(INVALID))
+    invalid = _invalid_expr(rules(CORRUPT in raw.columns))
+    if LINE_KIND in raw.columns:  # header and blank lines are no rows: neither valid nor invalid
+        invalid = F.when(F.col(LINE_KIND) == "row", invalid)
+    return normalized.select("*", invalid.alias(INVALID))
 
 
 def errors(checked: DataFrame) -> Column:
@@ -188,10 +194,10 @@ def valid_claims(checked: DataFrame) -> DataFrame:
 
 def validation_errors(checked: DataFrame) -> DataFrame:
     """One row per (claim, failed check): claim_id, rule, field, bad_value,
-    error, plus source_file when the raw scan carried it."""
+    error, plus the row's place when the raw scan carried it (see
+    ``sources.files.number_lines`` for its line)."""
     cols = [F.col("claim_id"), F.inline(errors(checked))]
-    if "source_file" in checked.columns:
-        cols.append(F.col("source_file"))
+    cols += [F.col(c) for c in PLACE_FIELDS if c in checked.columns]
     return checked.filter(~is_valid()).select(*cols)
 
 
@@ -204,7 +210,7 @@ def observe_counts(checked: DataFrame, name: str = "load_counts") -> tuple[DataF
     obs = Observation(name)
     observed = checked.observe(
         obs,
-        F.count(F.lit(1)).alias("rows_raw"),
+        F.count(INVALID).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
         F.sum(F.when(~is_valid(), F.size(errors(checked)))).alias("errors"),
@@ -215,7 +221,7 @@ def observe_counts(checked: DataFrame, name: str = "load_counts") -> tuple[DataF
 def quality_counts(checked: DataFrame) -> DataFrame:
     """The same counts as a one-row DataFrame."""
     return checked.agg(
-        F.count(F.lit(1)).alias("rows_raw"),
+        F.count(INVALID).alias("rows_raw"),
         F.count_if(is_valid()).alias("rows_valid"),
         F.count_if(~is_valid()).alias("rows_invalid"),
         F.coalesce(F.sum(F.when(~is_valid(), F.size(errors(checked)))), F.lit(0))

@@ -5,6 +5,7 @@
                 loss; the load counts are observed on this job)
              -> valid typed rows -> member windows + derived fields -> curated
              -> error log, curated table, PAID layer by state, run summary
+             -> one commit of all of them
 
 The checked table is written once to the session's checkpoint folder, so the
 valid split, the error log and the counts are all read from the same rows
@@ -15,6 +16,8 @@ from the invalid part only.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,8 +42,10 @@ from carelake.operators.quality import (
     validation_errors,
 )
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.session import written
-from carelake.sources import sinks
+from carelake.schema import LINE_KIND
+from carelake.session import discard, written
+from carelake.sources import published, sinks
+from carelake.sources.files import number_lines, read_curated
 
 
 # Q13 --------------------------------------------------------------------------
@@ -54,7 +59,7 @@ def load_summary(checked: DataFrame) -> DataFrame:
     valid = is_valid()
     denied = valid & (F.col("claim_status") == "DENIED")
     return checked.agg(
-        F.count(F.lit(1)).alias("rows_raw"),
+        F.count(INVALID).alias("rows_raw"),
         F.count_if(valid).alias("rows_valid"),
         F.count_if(~valid).alias("rows_invalid"),
         F.coalesce(F.sum(F.when(~valid, F.size(errors(checked)))), F.lit(0)).cast("long").alias("error_count"),
@@ -162,16 +167,16 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
     return g.filter(gid != _GID["diagnosis_code"]).select(F.inline(rows)).unionByName(top)
 
 
-# a map of the record holds at most so many groups, largest first
+# a map of the JSON record shows so many groups, largest first; the long rows, written beside it, have all
 MAP_LIMIT = 1000
 
 
 def summary_record(summary_long: DataFrame, run_timestamp: str) -> DataFrame:
     """One-row nested summary (scalars as columns, maps as MAP columns).
 
-    Built from the long rows. A map holds the ``MAP_LIMIT`` groups of largest
-    value at most (state codes aren't checked, so their number isn't bounded);
-    the long rows have all of them.
+    Built from the long rows, and a view of them: a map shows the ``MAP_LIMIT``
+    groups of largest value (state codes aren't checked, so their number isn't
+    bounded). ``run_etl`` writes the long rows, with every group, as a table.
     """
     scalars = summary_long.filter(F.col("key").isNull() & (F.col("metric") != "top_diagnoses"))
     maps = summary_long.filter(
@@ -198,10 +203,12 @@ def summary_record(summary_long: DataFrame, run_timestamp: str) -> DataFrame:
 # E4 ---------------------------------------------------------------------------
 @dataclass
 class EtlResult:
+    load_id: str
     curated_path: str
     paid_layer_path: str
     errors_path: str | None
     summary_path: str
+    summary_rows_path: str
     counts: dict
 
 
@@ -211,42 +218,66 @@ def run_etl(
     output_dir: str,
     run_timestamp: str | None = None,
     partition_keys: tuple[str, ...] = ("state_code",),
+    keep_loads: int | None = 3,
 ) -> EtlResult:
-    """Validate, transform and write every output of one load.
-
-    ``output_dir`` should be shared storage on a cluster. The checked rows are
-    written once, by validity, to the session's checkpoint folder: a lost
-    executor does not force re-reading the landing files, the transform reads
-    the valid part by column, the error log the other.
+    """Validate, transform and write every output of one load, then publish it.
+
+    ``output_dir`` should be shared storage on a cluster. The outputs go to a
+    folder of this load and are committed together at the end
+    (``sources.published``): readers of ``output_dir`` see the load before until
+    then, whatever fails. The last ``keep_loads`` loads stay (None: all).
+
+    The checked rows are written once, by validity, to the session's checkpoint
+    folder and removed after the commit: a lost executor does not force
+    re-reading the landing files, the transform reads the valid part by column,
+    the error log the other. Give the lines of ``read_raw_lines``: then every
+    error has the file and the number of its line.
     """
     ts = run_timestamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+    load_id = f"{re.sub('[^0-9]', '', ts)[:14] or 'load'}-{uuid.uuid4().hex[:12]}"
     # raw / valid / invalid counts are filled in by the write itself
     # (observed there, not downstream: a range repartition's sampling job
     # would execute an observed node a second time)
     observed, obs = observe_counts(check(raw))
     checked = written(observed, "checked", INVALID)
 
-    curated = transform(valid_claims(checked))
-    out = output_dir.rstrip("/")
-    curated_path = f"{out}/curated_claims"
-    sinks.write_table(curated, curated_path)
-    curated = spark.read.parquet(curated_path)
+    out = published.load_folder(output_dir, load_id)
+    tables: dict[str, str | None] = {}
+
+    def place(table: str) -> str:
+        tables[table] = f"{published.LOADS}/{load_id}/{table}"
+        return f"{out}/{table}"
+
+    curated_path = place("curated_claims")
+    sinks.write_table(transform(valid_claims(checked)), curated_path)
+    curated = read_curated(spark, curated_path)
 
-    paid_path = f"{out}/curated_paid_by_state"
+    paid_path = place("curated_paid_by_state")
     sinks.write_partitioned(curated_paid(curated), paid_path, partition_keys)
 
-    errors_path = f"{out}/validation_errors"
-    wrote = sinks.write_errors(validation_errors(checked), errors_path)
+    failed = validation_errors(checked)
+    if LINE_KIND in checked.columns:
+        failed = number_lines(failed, checked)
+    errors_path = place("validation_errors")
+    if not sinks.write_errors(failed, errors_path):
+        errors_path = tables["validation_errors"] = None
 
-    summary_path = f"{out}/analytics_summary"
-    sinks.write_summary_json(summary_record(analytics_summary(curated), ts), summary_path)
-    load = load_summary(checked)
-    load_path = f"{out}/load_summary"
-    stamped = load.select(F.lit(ts).alias("run_timestamp"), "*")
+    rows_path = place("summary_rows")
+    sinks.write_table(analytics_summary(curated), rows_path)
+    summary_path = place("analytics_summary")
+    sinks.write_summary_json(summary_record(spark.read.parquet(rows_path), ts), summary_path)
+
+    stamped = load_summary(checked).select(F.lit(ts).alias("run_timestamp"), "*")
+    load_path = place("load_summary")
     sinks.write_summary_json(stamped, load_path)
     counts = spark.read.schema(stamped.schema).json(load_path).drop("run_timestamp").first().asDict()
     counts["observed"] = dict(obs.get)
-    return EtlResult(curated_path, paid_path, errors_path if wrote else None, summary_path, counts)
+
+    published.commit(spark, output_dir, load_id, tables, {"run_timestamp": ts, "counts": counts})
+    discard(checked)
+    if keep_loads:
+        published.prune(spark, output_dir, keep_loads)
+    return EtlResult(load_id, curated_path, paid_path, errors_path, summary_path, rows_path, counts)
 
 
 __all__ = [

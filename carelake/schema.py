@@ -89,6 +89,9 @@ ANOMALY_LABEL = "denied but paid_amount > 0"
 
 # the text of a row whose number of fields is wrong
 CORRUPT = "_corrupt_record"
+# what a line of a landing file is, and where it was read
+LINE_KIND = "line_kind"
+PLACE_FIELDS = ["source_file", "source_split", "source_row"]
 
 # fixed values: derived fields of the curated table
 DERIVED_FIELDS = [

@@ -70,4 +70,13 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/carelake-stages/{name}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path  # for ``discard``
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the stage behind ``df``, a result of ``written``, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,7 +3,8 @@
 Each micro-batch takes the names of new landing files and reads them through
 the batch ingest: every file is bound by its own header, and the same checks
 apply. Valid rows are typed and appended to the claims table (partitioned by
-state_code), failed checks are appended to the error log.
+state_code), failed checks are appended to the error log, each with its file
+and line.
 Run it with ``trigger(availableNow=True)`` from a scheduler to process
 whatever arrived since the last run; the checkpoint location remembers which
 files were seen, so a rerun never loads a file twice.
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.operators.quality import INVALID, check, valid_claims, validation_errors
-from carelake.session import written
-from carelake.sources.files import read_raw_csv
+from carelake.session import discard, written
+from carelake.sources.files import number_lines, read_raw_lines
 
 
 @dataclass
@@ -42,7 +43,7 @@ def _write_batch(paths: LandingPaths):
         if not files:
             return
         # read and checked once; the two writes below each read their part
-        checked = written(check(read_raw_csv(batch.sparkSession, files)), "landing", INVALID)
+        checked = written(check(read_raw_lines(batch.sparkSession, files)), "landing", INVALID)
         (
             valid_claims(checked)
             .withColumn("batch_id", F.lit(batch_id))
@@ -53,13 +54,14 @@ def _write_batch(paths: LandingPaths):
             .parquet(paths.claims_dir)
         )
         (
-            validation_errors(checked)
+            number_lines(validation_errors(checked), checked)
             .withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .partitionBy("batch_id")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(paths.errors_dir)
         )
+        discard(checked)
 
     return run
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from carelake.plans.etl import run_etl
 from carelake.sources.files import read_raw_csv, register, run_sql
+from carelake.sources.published import table_path
 from carelake.streaming.landing import LandingPaths, start_landing_ingest
 
 
@@ -82,7 +83,7 @@ def test_cli_etl_and_report(spark, data_path, tmp_path):
     shutil.copy(data_path("claims_fixture.csv"), landing / "a.csv")
     out = tmp_path / "out"
     assert main(["etl", str(landing), str(out), "--partition-by", "state_code,service_year"]) == 0
-    assert os.path.isdir(out / "curated_paid_by_state" / "state_code=OH")
+    assert os.path.isdir(os.path.join(table_path(spark, str(out), "curated_paid_by_state"), "state_code=OH"))
     assert main(["report", "baseline_kpis", str(out / "curated_claims"), str(tmp_path / "kpi")]) == 0
     r = spark.read.parquet(str(tmp_path / "kpi")).first()
     assert (r.total_claims, r.paid_claims, r.denied_claims) == (15, 11, 2)

@@ -17,6 +17,7 @@ from carelake.session import ensure_checkpoint_dir
 from carelake.sources import sinks
 from carelake.sources.files import read_curated, read_raw_csv
 from carelake.sources.layer import fingerprint
+from carelake.sources.published import table_path
 from carelake.streaming.landing import LandingPaths, start_landing_ingest
 
 HEAD = ",".join(RAW_FIELDS)
@@ -78,10 +79,10 @@ def test_stream_binds_and_reports_like_the_batch(spark, landing, tmp_path):
 def test_clean_rerun_leaves_no_error_log_and_states_stay_text(spark, landing, tmp_path):
     out = str(tmp_path / "out")
     first = run_etl(spark, read_raw_csv(spark, str(landing)), out, "t")
-    assert first.counts["error_count"] == 2 and os.path.exists(f"{out}/validation_errors")
+    assert first.counts["error_count"] == 2 and os.path.exists(table_path(spark, out, "validation_errors"))
     (landing / "a.csv").write_text(HEAD + "\n" + line("C1", "M1") + "\n")
     second = run_etl(spark, read_raw_csv(spark, str(landing)), out, "t")
-    assert second.errors_path is None and not os.path.exists(f"{out}/validation_errors")
+    assert second.errors_path is None and table_path(spark, out, "validation_errors") is None
     assert sorted(r.state_code for r in read_curated(spark, second.paid_layer_path, CURATED_PAID_FIELDS).collect()) == ["06", "OH", "OH"]
 
 
