@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
@@ -16,9 +18,11 @@ from carelake.plans import notes as N
 from carelake.plans import segments as V
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
-from carelake.schema import CORRUPT, CURATED_PAID_FIELDS, RAW_FIELDS
-from carelake.sources.files import read_claims_csv, read_curated, read_raw_csv, register, run_sql
-from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, mixed_feed, raw_feed
+from carelake.schema import CORRUPT, RAW_FIELDS
+from carelake.session import written
+from carelake.sources import published
+from carelake.sources.files import number_lines, read_claims_csv, read_layout, read_raw_csv, read_raw_lines, register, run_sql
+from carelake.sources.layer import claims_layer, layer_claims as claims, layer_path, lines_feed, mixed_feed, raw_feed
 from carelake.sources.sinks import remove
 from carelake.sources.tables import notes_from_typed
 
@@ -116,14 +120,33 @@ RUN_TIME = "2024-01-01T00:00:00"
 
 
 def etl_run(spark: SparkSession, sf_dir: str) -> str:
-    """Output folder of ``run_etl`` over the raw feed (written on first use)."""
+    """Output folder of ``run_etl`` over the raw feed (loaded on first use)."""
     feed = raw_feed(spark, sf_dir)
     out = f"{layer_path(spark, sf_dir)}_run"
-    if not committed(spark, f"{out}/load_summary"):
-        E.run_etl(spark, read_raw_csv(spark, feed), out, RUN_TIME)
+    if published.latest(spark, out) is None:
+        E.run_etl(spark, read_raw_lines(spark, feed), out, RUN_TIME)
     return out
 
 
+def _of_run(table: str) -> Query:
+    return lambda s, d: published.read_published(s, etl_run(s, d), table)
+
+
+def run_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's load summary, with the time of the run, from its JSON record."""
+    path = published.table_path(spark, etl_run(spark, sf_dir), "load_summary")
+    schema = E.load_summary(Q.check(spark.createDataFrame([], T.StructType([T.StructField(f, T.StringType()) for f in RAW_FIELDS])))).schema
+    return spark.read.schema(T.StructType([T.StructField("run_timestamp", T.StringType()), *schema.fields])).json(path)
+
+
+def error_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every failed check with the file and the line of its row."""
+    checked = written(Q.check(read_raw_lines(spark, lines_feed(spark, sf_dir))), "checked", Q.INVALID)
+    found = number_lines(Q.validation_errors(checked), checked)
+    part = F.regexp_extract("source_file", r"part=(\d+)/", 1).cast("long")
+    return found.select("claim_id", "rule", "field", part.alias("part"), "source_line")
+
+
 def _summary_rows(spark: SparkSession, path: str) -> DataFrame:
     """The run's summary record as (metric, key, value) rows."""
     maps = [*E.SUMMARY_MAP_METRICS, "top_diagnoses"]
@@ -148,12 +171,13 @@ def run_queries() -> dict[str, Query]:
     return {
         "e1_mixed_landing": mixed_landing,
         "s5_sql_paid_by_state": sql_paid_by_state,
-        "e4_run_curated": lambda s, d: report_types(read_curated(s, f"{etl_run(s, d)}/curated_claims")),
-        "e4_run_paid_by_state": lambda s, d: report_types(
-            read_curated(s, f"{etl_run(s, d)}/curated_paid_by_state", CURATED_PAID_FIELDS)
-        ),
-        "e4_run_errors": lambda s, d: s.read.parquet(f"{etl_run(s, d)}/validation_errors"),
-        "e4_run_summary": lambda s, d: _summary_rows(s, f"{etl_run(s, d)}/analytics_summary"),
+        "e4_run_curated": lambda s, d: report_types(_of_run("curated_claims")(s, d)),
+        "e4_run_paid_by_state": lambda s, d: report_types(_of_run("curated_paid_by_state")(s, d)),
+        "e4_run_errors": lambda s, d: _of_run("validation_errors")(s, d).select("claim_id", "rule", "field", "bad_value", "error"),
+        "e4_run_summary": lambda s, d: _summary_rows(s, published.table_path(s, etl_run(s, d), "analytics_summary")),
+        "e4_run_summary_rows": _of_run("summary_rows"),
+        "e4_run_load_summary": run_load_summary,
+        "f19_error_lines": error_lines,
     }
 
 
@@ -230,12 +254,19 @@ def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notes.select("claim_id", text.alias("response"))
 
 
+def note_length_scorer(notes: pd.Series) -> pd.DataFrame:
+    """A scorer as a user might plug in (it runs by batch in the executors): short notes are filed apart."""
+    length = notes.fillna("").str.len()
+    return pd.DataFrame({"category": np.where(length < 25, "SHORT", "LONG"), "confidence": length.clip(upper=50) / 50.0})
+
+
 def text_queries() -> dict[str, Query]:
     return {
         "t1_executive_summary": lambda s, d: N.executive_summary_text(
             claims(s, d, ["claim_status", "billed_amount", "paid_amount", "claim_type", "provider_type"])
         ),
         "t2_denial_note_categories": lambda s, d: N.classify_denial_notes(denial_notes(s, d)),
+        "u1_scored_notes": lambda s, d: N.classify_denial_notes(denial_notes(s, d), scorer=note_length_scorer),
         "t3_denial_category_trend": lambda s, d: N.denial_category_trend(
             N.classify_denial_notes(denial_notes(s, d))
         ),
@@ -262,7 +293,7 @@ def streamed_valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{runs}/{uuid.uuid4().hex}"
     paths = LandingPaths(feed, f"{root}/claims", f"{root}/errors", f"{root}/checkpoint")
     start_landing_ingest(spark, paths).awaitTermination()
-    return report_types(spark.read.parquet(paths.claims_dir).select(*RAW_FIELDS))
+    return report_types(read_layout(spark, paths.claims_dir).select(*RAW_FIELDS))
 
 
 def all_queries() -> dict[str, Query]:

@@ -40,7 +40,7 @@ PROVENANCE = ["source_orderkey", "source_linenumber"]
 LAYER_DIR = "carelake-claims-layer"
 # bump when the mapping, the layout or the raw-feed defects change: the
 # version is part of the fingerprint, so an older layer is never reused
-LAYER_VERSION = "5"
+LAYER_VERSION = "6"
 
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -153,6 +153,30 @@ def mixed_feed(spark: SparkSession, sf_dir: str) -> str:
         return path
 
 
+LINES_FEED_DIR = "lines_feed_csv"
+#: Rows of a file of the numbered feed, about; and its least number of files.
+LINES_FILE_ROWS, LINES_FILES = 1_000_000, 4
+
+
+def lines_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The raw feed as files whose line numbers are known: ``part=<n>`` holds the claims of a bucket (md5 of the id) in the
+    order of their ids below a header, with a blank line before some of them (another bucket)."""
+    with _BUILD_LOCK:
+        path = layer_path(spark, sf_dir) + "_" + LINES_FEED_DIR
+        if not committed(spark, path):
+            raw = raw_from_typed(claims_layer(spark, sf_dir))
+            files = LINES_FILES + raw.count() // LINES_FILE_ROWS
+            line = F.concat_ws(",", *[F.coalesce(F.col(f), F.lit("")) for f in RAW_FIELDS])
+            gap = F.when(md5_bucket(F.col("claim_id"), "gap") < 5, F.lit("\n")).otherwise(F.lit(""))
+            rows = raw.select(md5_bucket(F.col("claim_id"), "lines", files).alias("part"), F.col("claim_id").alias("_id"), F.concat(gap, line).alias("value"))
+            heads = spark.range(files).select(F.col("id").alias("part"), F.lit("").alias("_id"), F.lit(",".join(RAW_FIELDS)).alias("value"))
+            (
+                rows.unionByName(heads).repartition(files, "part").sortWithinPartitions("part", "_id").select("part", "value")
+                .write.mode("overwrite").partitionBy("part").text(path)
+            )
+        return path
+
+
 def layer_claims(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Typed claims from the layer, restricted to ``columns`` (claim fields)."""
     cols = list(columns) if columns is not None else list(RAW_FIELDS)
