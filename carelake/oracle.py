@@ -449,6 +449,10 @@ FROM ({q12})"""
        CASE WHEN {bucket} BETWEEN 80 AND 84 THEN NULL ELSE managed_care_flag END AS managed_care_flag,
        {bucket} BETWEEN 80 AND 89 AS malformed
 FROM raw"""
+    windows = f"SELECT {_report(['claim_id', 'member_id', 'member_cumulative_paid', 'days_since_last_claim'], MONEY_COLS)} FROM cur"
+    of_members = """SELECT claim_id, member_id, CAST(paid_amount AS DOUBLE) AS paid_amount FROM claims
+WHERE claim_status = 'PAID' AND member_id IN (
+  SELECT member_id FROM claims WHERE claim_status = 'PAID' GROUP BY member_id HAVING SUM(paid_amount) > 2500000)"""
     files = "(SELECT 4 + COUNT(*) // 1000000 FROM lineitem)"
     place = f"""placed AS (
   SELECT claim_id, {_bucket_sql("claim_id", "lines", files)} AS part, {_bucket_sql("claim_id", "gap")} < 5 AS gap FROM raw
@@ -476,6 +480,10 @@ FROM raw WHERE claim_status = 'PAID' GROUP BY state_code"""
         "e4_run_summary_rows": with_raw(q12, derived_cte("vt")),
         "e4_run_load_summary": with_raw("SELECT '2024-01-01T00:00:00' AS run_timestamp, s.* FROM (" + q13 + ") s", derived_cte("vt")),
         "f19_error_lines": with_raw("SELECT claim_id, rule, field, part, source_line FROM errs JOIN numbered USING (claim_id)", place),
+        "s4_table_windows": with_claims(windows, curated_cte("claims")),
+        "s4_table_readmissions": _q9(),
+        "s4_table_claims_of_members": with_claims(of_members),
+        "w1_history_of_loads": with_claims(windows, curated_cte("claims")),
         "e4_curated_paid": with_raw(e4, curated_cte("vt")),
         "q12_analytics_summary": with_raw(q12, derived_cte("vt")),
         "q13_load_summary": with_raw(q13, derived_cte("vt")),

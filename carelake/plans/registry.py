@@ -16,13 +16,15 @@ from carelake.plans import analytics as A
 from carelake.plans import etl as E
 from carelake.plans import notes as N
 from carelake.plans import segments as V
+from carelake.plans.history import append_load, read_history
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
 from carelake.schema import CORRUPT, RAW_FIELDS
 from carelake.session import written
 from carelake.sources import published
 from carelake.sources.files import number_lines, read_claims_csv, read_layout, read_raw_csv, read_raw_lines, register, run_sql
-from carelake.sources.layer import claims_layer, layer_claims as claims, layer_path, lines_feed, mixed_feed, raw_feed
+from carelake.sources.claims_table import create_claims_table, load_claims_table as claims_table_load, table_claims_of_members, table_member_windows, table_readmissions
+from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, lines_feed, mixed_feed, raw_feed
 from carelake.sources.sinks import remove
 from carelake.sources.tables import notes_from_typed
 
@@ -181,6 +183,40 @@ def run_queries() -> dict[str, Query]:
     }
 
 
+def claims_table(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the bucketed claims table over the layer (loaded on first use)."""
+    base = layer_path(spark, sf_dir)
+    name, location = f"claims_{base.rsplit('/', 1)[1]}", f"{base}_table"
+    if not committed(spark, f"{location}/hot"):
+        claims_table_load(spark, claims(spark, sf_dir), name, location)
+    create_claims_table(spark, name, location)
+    return name
+
+
+HISTORY_FIELDS = ["claim_id", "member_id", "member_cumulative_paid", "days_since_last_claim"]
+
+
+def history_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims as three loads (by date, with late claims in the second and third), read back as one history."""
+    root = f"{layer_path(spark, sf_dir)}_history"
+    rows = claims(spark, sf_dir)
+    month, late = F.month("service_date"), md5_bucket(F.col("claim_id"), "late")
+    load = F.when(late < 2, 3).when((F.year("service_date") < 1996) & ~(late < 4), 1).otherwise(2) + F.when((month == 12) & (F.year("service_date") >= 1997), 1).otherwise(0)
+    manifest = published.latest(spark, root)
+    for n in range((manifest["facts"]["loads"] if manifest else 0) + 1, 4):
+        append_load(spark, root, rows.filter(F.least(load, F.lit(3)) == n))
+    return report_types(read_history(spark, root).select(*HISTORY_FIELDS))
+
+
+def table_queries() -> dict[str, Query]:
+    return {
+        "s4_table_windows": lambda s, d: report_types(table_member_windows(s, claims_table(s, d)).select(*HISTORY_FIELDS)),
+        "s4_table_readmissions": lambda s, d: table_readmissions(s, claims_table(s, d)),
+        "s4_table_claims_of_members": lambda s, d: report_types(table_claims_of_members(s, claims_table(s, d), SELECTIVE_THRESHOLD)).select("claim_id", "member_id", "paid_amount"),
+        "w1_history_of_loads": history_of_loads,
+    }
+
+
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.check(raw_claims(spark, sf_dir))
 
@@ -300,6 +336,7 @@ def all_queries() -> dict[str, Query]:
     out = analytics_queries()
     out.update(etl_queries())
     out.update(run_queries())
+    out.update(table_queries())
     out.update(segment_queries())
     out.update(text_queries())
     out["s1_streamed_valid_claims"] = streamed_valid_claims
