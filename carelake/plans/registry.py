@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.operators import quality as Q
+from carelake.operators.distinct import estimate_members, member_sketches, standard_error
 from carelake.plans import analytics as A
 from carelake.plans import etl as E
 from carelake.plans import notes as N
 from carelake.plans import segments as V
 from carelake.plans.history import append_load, read_history
+from carelake.plans.rollup import REPORTS, append_rollup, read_rollup
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
 from carelake.schema import CORRUPT, RAW_FIELDS
@@ -193,6 +195,36 @@ def claims_table(spark: SparkSession, sf_dir: str) -> str:
     return name
 
 
+def rollup_of_loads(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the rollup, built from two loads of the claims layer (on first use)."""
+    root = f"{layer_path(spark, sf_dir)}_rollup"
+    rows, bucket = claims(spark, sf_dir), md5_bucket(F.col("claim_id"), "load")
+    manifest = published.latest(spark, root)
+    for part in [bucket < 60, bucket >= 60][len(manifest["facts"]["parts"]) if manifest else 0 :]:
+        append_rollup(spark, root, rows.filter(part))
+    return root
+
+
+def _from_rollup(report: Callable) -> Query:
+    return lambda s, d: report(*read_rollup(s, rollup_of_loads(s, d)))
+
+
+def rollup_queries() -> dict[str, Query]:
+    return {f"r_{name}": _from_rollup(report) for name, report in REPORTS.items()}
+
+
+def sketched_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members per state and plan from monthly sketches of two loads, merged: whether the estimate is within five
+    standard errors of the exact count beside it."""
+    rows = claims(spark, sf_dir, ["claim_id", "member_id", "state_code", "plan_id", "service_date", "claim_status"])
+    bucket = md5_bucket(F.col("claim_id"), "load")
+    parts = written(member_sketches(rows.filter(bucket < 60)).unionByName(member_sketches(rows.filter(bucket >= 60))), "sketches")
+    keys = ["state_code", "plan_id"]
+    exact = rows.filter("claim_status = 'PAID'").groupBy(*keys).agg(F.count_distinct("member_id").alias("exact_members"))
+    near = F.abs(F.col("unique_members") - F.col("exact_members")) <= 5 * standard_error() * F.col("exact_members")
+    return estimate_members(parts, keys).join(exact, keys).select(*keys, "exact_members", near.alias("within_bound"))
+
+
 HISTORY_FIELDS = ["claim_id", "member_id", "member_cumulative_paid", "days_since_last_claim"]
 
 
@@ -214,6 +246,7 @@ def table_queries() -> dict[str, Query]:
         "s4_table_readmissions": lambda s, d: table_readmissions(s, claims_table(s, d)),
         "s4_table_claims_of_members": lambda s, d: report_types(table_claims_of_members(s, claims_table(s, d), SELECTIVE_THRESHOLD)).select("claim_id", "member_id", "paid_amount"),
         "w1_history_of_loads": history_of_loads,
+        "a6_sketched_members": sketched_members,
     }
 
 
@@ -337,6 +370,7 @@ def all_queries() -> dict[str, Query]:
     out.update(etl_queries())
     out.update(run_queries())
     out.update(table_queries())
+    out.update(rollup_queries())
     out.update(segment_queries())
     out.update(text_queries())
     out["s1_streamed_valid_claims"] = streamed_valid_claims

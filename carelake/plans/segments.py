@@ -20,7 +20,8 @@ from carelake.functions.money import (
     sum_money_sql,
 )
 from carelake.functions.hashing import md5_bucket
-from carelake.operators.ranking import global_running, median_of_ranked
+from carelake.operators.ranking import global_running
+from carelake.operators.select_rank import median_by_counts
 from carelake.session import written
 from carelake.schema import (
     AGE_BAND_CUTS,
@@ -121,15 +122,13 @@ def unit_cost_by_claim_type(claims: DataFrame) -> DataFrame:
 def _segmented(spend: DataFrame, bands: int | None) -> DataFrame:
     """``member_spend`` rows with their segment.
 
-    The rows are ranked once; the median is read off the same written rows,
-    so the claims behind ``spend`` are scanned once.
+    The rows are written once, in no order, so the claims behind ``spend`` are
+    scanned once; the median comes from counts over them.
     """
-    ranked = global_running(
-        spend, "member_paid", "member_id", False, bands, running_col="_r", with_totals=True, carry=("claims",)
-    )
-    med = median_of_ranked(ranked.filter(F.col("member_paid").isNotNull()), "member_paid")
+    spend = written(spend, "member-spend")
+    med = spend.sparkSession.createDataFrame([(median_by_counts(spend, "member_paid"),)], "median decimal(38,5)")
     # ``med`` is one row: a bounded broadcast (a scalar subquery)
-    return ranked.crossJoin(F.broadcast(med)).select(
+    return spend.crossJoin(F.broadcast(med)).select(
         "member_id",
         "member_paid",
         "claims",
