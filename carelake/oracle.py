@@ -280,6 +280,12 @@ def all_sql() -> dict[str, str]:
     # from the rollup of two loads: the same rows
     for name in ("q1_baseline_kpis", "q2_monthly_spend_trend", "q3_spend_by_state_plan", "q4_high_cost_members", "q5_behavioral_utilization", "q6_denial_rate_by_provider", "q7_top_diagnoses_by_spend"):
         out[f"r_{name}"] = out[name]
+    # called from SQL text: the same rows
+    for name, of in {
+        "high_cost_members": "q4_high_cost_members", "high_cost_members_selective": "q4_high_cost_members_selective", "readmission_pairs": "q9_readmission_pairs",
+        "spend_by_state_plan": "q3_spend_by_state_plan", "top_diagnoses": "q7_top_diagnoses_by_spend", "denial_rate_by_provider": "q6_denial_rate_by_provider",
+    }.items():
+        out[f"s5_sql_{name}"] = out[of]
     # the streaming ingest must produce exactly the batch valid claims
     out["s1_streamed_valid_claims"] = out["e2_valid_claims"]
     return out

@@ -28,6 +28,7 @@ from carelake.sources.files import number_lines, read_claims_csv, read_layout, r
 from carelake.sources.claims_table import create_claims_table, load_claims_table as claims_table_load, table_claims_of_members, table_member_windows, table_readmissions
 from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, lines_feed, mixed_feed, raw_feed
 from carelake.sources.sinks import remove
+from carelake.sources.sql_functions import create_report_functions
 from carelake.sources.tables import notes_from_typed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,6 +226,29 @@ def sketched_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimate_members(parts, keys).join(exact, keys).select(*keys, "exact_members", near.alias("within_bound"))
 
 
+def _by_sql(text: str) -> Query:
+    """A report called from SQL text, over the claims layer as a view."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        view = f"claims_{layer_path(spark, sf_dir).rsplit('/', 1)[1]}_view"
+        register(claims(spark, sf_dir), view)
+        create_report_functions(spark, view)
+        return run_sql(spark, text)
+
+    return run
+
+
+def sql_function_queries() -> dict[str, Query]:
+    return {
+        "s5_sql_high_cost_members": _by_sql("SELECT * FROM high_cost_members() ORDER BY total_paid DESC, member_id, state_code"),
+        "s5_sql_high_cost_members_selective": _by_sql(f"SELECT * FROM all_high_cost_members(threshold => {SELECTIVE_THRESHOLD})"),
+        "s5_sql_readmission_pairs": _by_sql("SELECT * FROM readmission_pairs(days => 30)"),
+        "s5_sql_spend_by_state_plan": _by_sql("SELECT * FROM spend_by_state_plan() ORDER BY total_paid DESC"),
+        "s5_sql_top_diagnoses": _by_sql("SELECT * FROM top_diagnoses_by_spend(top => 15)"),
+        "s5_sql_denial_rate_by_provider": _by_sql("SELECT * FROM denial_rate_by_provider()"),
+    }
+
+
 HISTORY_FIELDS = ["claim_id", "member_id", "member_cumulative_paid", "days_since_last_claim"]
 
 
@@ -371,6 +395,7 @@ def all_queries() -> dict[str, Query]:
     out.update(run_queries())
     out.update(table_queries())
     out.update(rollup_queries())
+    out.update(sql_function_queries())
     out.update(segment_queries())
     out.update(text_queries())
     out["s1_streamed_valid_claims"] = streamed_valid_claims
