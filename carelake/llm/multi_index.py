@@ -15,9 +15,9 @@ bounded blocks, and one task multiplies one block by another.
 
 Cases: vectors that are null, zero, hold null or non-finite components, or
 have another length than most, take no part, neither as queries nor as
-candidates; ties go to the smaller vec_id; rows that repeat a vec_id with
-different vectors are candidates each (a query leaves out every row of its own
-id); fewer candidates than k give as many rows; an empty table gives an empty
+candidates; ties go to the smaller vec_id; equal rows are one candidate and one
+query; rows that repeat a vec_id with different vectors are candidates each (a
+query leaves out every row of its own id); fewer candidates than k give as many rows; an empty table gives an empty
 result; only the id and the vector are read.
 """
 
@@ -99,7 +99,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     rows = rows.where(F.size("v") == dim)
 
     smallest = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    entries = rows.withColumn("_r", smallest).where(F.col("_r") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    # repeats of a row are one candidate: they must not fill a vector's places
+    entries = rows.distinct().withColumn("_r", smallest).where(F.col("_r") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     entries = stage(entries, "ann-entries")
     n = entries.count()
     fitted = matrix(entries.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).toArrow()["v"].combine_chunks(), dim) if n else np.zeros((0, dim))

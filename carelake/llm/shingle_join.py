@@ -12,8 +12,9 @@ A probe walks it level by level: the overlap with a node's path is computed
 once for all sets below it, and a subtree is left as soon as the remaining
 lengths cannot reach the overlap that its smallest set needs, or when all its
 sets are in the probe's component already (links only matter for
-connectivity then). Large groups are cut into chunks and every pair of chunks
-is one task, so a group of any size is no larger a task.
+connectivity then). Large groups are cut into chunks, bounded in sets and in
+bytes, and every pair of chunks is one task, so a group of any size, of sets of
+any size, is no larger a task.
 
 Cases: equal sets are joined once (copies meet in their block, then by set); a
 null, empty or blank text has no shingles and is its own component; rows that
@@ -36,10 +37,10 @@ from carelake.llm.bpe import spread
 from carelake.llm.common import read_table, stage
 from carelake.llm.components import components
 from carelake.llm.windows import LAST, share_out
-from carelake.llm.words import combine, find_words, hash_spans, join_texts, mix
+from carelake.llm.words import combine, find_words, join_texts, mix, prime_hashes
 
 SHINGLE, LEAST = 4, 85
-BLOCK_BYTES, BUCKET_SHINGLES, CHUNK_SETS, GROUP_BYTES = 6_000_000, 2_000_000, 2_000, 4_000_000
+BLOCK_BYTES, BUCKET_SHINGLES, CHUNK_SETS, CHUNK_BYTES, GROUP_BYTES = 6_000_000, 2_000_000, 2_000, 8_000_000, 4_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -49,7 +50,7 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.
     buf, at = join_texts(texts)
     buf = _LOWER[buf]
     start, end = find_words(buf)
-    words, first = hash_spans(buf, start, end), np.searchsorted(start, at)
+    words, first = prime_hashes(buf, start, end), np.searchsorted(start, at)
     count = np.diff(first)
     many = np.maximum(count - size + 1, 0)
     gram = combine(words, size)[spread(first[:-1], many)] if many.any() else np.zeros(0, np.uint64)
@@ -236,7 +237,7 @@ def first_shingles(docs: DataFrame, size: int, least: int, block_bytes: int, buc
     return dealt.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(pick, "doc_id bigint, text_key bigint, at bigint, n bigint, node binary, keys array<bigint>, shingles binary")
 
 
-def join_shingles(docs: DataFrame, size: int = SHINGLE, least: int = LEAST, block_bytes: int = BLOCK_BYTES, bucket_shingles: int = BUCKET_SHINGLES, chunk_sets: int = CHUNK_SETS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def join_shingles(docs: DataFrame, size: int = SHINGLE, least: int = LEAST, block_bytes: int = BLOCK_BYTES, bucket_shingles: int = BUCKET_SHINGLES, chunk_sets: int = CHUNK_SETS, chunk_bytes: int = CHUNK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text, null as empty), n_shingles, component_id and component (a hash) of every row.
 
     Two sets link if 100 x intersection >= ``least`` x union.
@@ -254,7 +255,8 @@ def join_shingles(docs: DataFrame, size: int = SHINGLE, least: int = LEAST, bloc
 
     # Chunks of large groups, every pair of chunks together.
     members = sets.select("node", "shingles").join(group, "node")
-    chunks = group.groupBy("grp").agg(F.ceil(F.count("*") / chunk_sets).alias("chunks"))
+    volume = F.greatest(F.ceil(F.count("*") / chunk_sets), F.ceil(F.sum("n") * 8 / chunk_bytes))
+    chunks = sets.select("node", "n").join(group, "node").groupBy("grp").agg(volume.alias("chunks"))
     members = members.join(chunks, "grp").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     members = members.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)))
     members = members.withColumn("pair", F.xxhash64("grp", F.least("chunk", "mate"), F.greatest("chunk", "mate")))

@@ -31,7 +31,7 @@ from carelake.llm.common import read_table
 from carelake.llm.succinct import FmIndex
 from carelake.llm.suffix_dedup import first_of_group, ordered
 from carelake.llm.windows import Block, Plan, covered_windows
-from carelake.llm.words import hash_spans, words_of
+from carelake.llm.words import prime_hashes, words_of
 
 WORDS = Plan(window=20, gram=5, words=True, same_document=True, block_bytes=8_000_000, shard_bytes=3_000_000)
 
@@ -39,7 +39,7 @@ WORDS = Plan(window=20, gram=5, words=True, same_document=True, block_bytes=8_00
 def load_words(table: pa.Table) -> Block:
     table = ordered(table)
     buf, start, end, begin = words_of(table["text"].to_pylist())
-    return Block(table["_at"].to_numpy(), hash_spans(buf, start, end), begin)
+    return Block(table["_at"].to_numpy(), prime_hashes(buf, start, end), begin)
 
 
 def matching_ranges(index: FmIndex, text: np.ndarray, begin: np.ndarray, span: np.ndarray, length: int) -> np.ndarray:

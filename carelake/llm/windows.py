@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm.bpe import spread
-from carelake.llm.words import combine, hash_spans, mix
+from carelake.llm.words import combine, mix, prime_hashes
 
 #: A null doc_id comes after all others.
 LAST = 2**63 - 1
@@ -214,7 +214,7 @@ def covered_windows(docs: DataFrame, plan: Plan, load: Callable[[pa.Table], Bloc
         kept = np.repeat(kept, times)
         alone = flag[kept] == 2
         row, start, count = seg.row[kept], seg.start[kept] + inner, np.where(alone, 1, seg.count[kept])
-        content = hash_spans(block.symbols, start, start + count + plan.window - 1) + count.astype(np.uint64)
+        content = prime_hashes(block.symbols, start, start + count + plan.window - 1) + count.astype(np.uint64)
         shard = share_out(mix(np.where(alone, content, seg.key[kept] ^ np.uint64(0xABCDEF))), shards)
         _, first, same = np.unique(content, return_index=True, return_inverse=True)  # the first is the owner
         order = np.argsort(shard[first], kind="stable")
@@ -240,7 +240,7 @@ def covered_windows(docs: DataFrame, plan: Plan, load: Callable[[pa.Table], Bloc
         symbols = read("d", number)
         span = count + plan.window - 1
         begin = np.cumsum(span) - span
-        content = hash_spans(symbols, begin, begin + span) + count.astype(np.uint64)
+        content = prime_hashes(symbols, begin, begin + span) + count.astype(np.uint64)
         order = np.lexsort((start, at))  # owners by position
         _, first, same = np.unique(content[order], return_index=True, return_inverse=True)
         text_of = np.empty(len(order), np.int64)
