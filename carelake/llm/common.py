@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.session import ensure_checkpoint_dir
+from carelake.session import discard, ensure_checkpoint_dir  # noqa: F401
 
 #: A word: a run of characters other than space and the five ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,7 +30,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path  # for ``discard``
+    return out
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
