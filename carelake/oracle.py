@@ -489,6 +489,16 @@ FROM raw WHERE claim_status = 'PAID' GROUP BY state_code"""
         "e4_run_summary_rows": with_raw(q12, derived_cte("vt")),
         "e4_run_load_summary": with_raw("SELECT '2024-01-01T00:00:00' AS run_timestamp, s.* FROM (" + q13 + ") s", derived_cte("vt")),
         "f19_error_lines": with_raw("SELECT claim_id, rule, field, part, source_line FROM errs JOIN numbered USING (claim_id)", place),
+        "s7_clustered_high_cost_members": _q4(),
+        "s7_clustered_members_of_states": with_claims(
+            """SELECT state_code, member_id, COUNT(*) AS claims, CAST(SUM(paid_amount) AS DOUBLE) AS total_paid, MAX(service_date) AS last_claim
+FROM claims WHERE claim_status = 'PAID' AND state_code IN ('NATION_3', 'NATION_11', 'NATION_17')
+  AND service_date BETWEEN DATE '1995-01-01' AND DATE '1996-06-30' GROUP BY 1, 2"""
+        ),
+        "s7_clustered_lookup": with_claims(
+            f"""SELECT claim_id, member_id, state_code, service_date, CAST(paid_amount AS DOUBLE) AS paid_amount FROM claims
+WHERE {_bucket_sql("claim_id", "ask")} < 5 AND {_bucket_sql("claim_id", "once")} < 5"""
+        ),
         "s4_table_windows": with_claims(windows, curated_cte("claims")),
         "s4_table_readmissions": _q9(),
         "s4_table_claims_of_members": with_claims(of_members),
@@ -754,6 +764,8 @@ FROM m""",
     return {
         "t1_executive_summary": t1,
         "t2_denial_note_categories": t2,
+        "t2_trained_note_categories": with_claims("SELECT claim_id, service_date, note, category FROM classified", ctes),
+        "t3_trained_category_trend": t3,
         "u1_scored_notes": u1,
         "t3_denial_category_trend": t3,
         "t4_parse_classifications": t4,

@@ -18,6 +18,7 @@ from carelake.plans import etl as E
 from carelake.plans import notes as N
 from carelake.plans import segments as V
 from carelake.plans.history import append_load, read_history
+from carelake.plans.note_model import classify_by_model, rule_labels, train_note_model
 from carelake.plans.rollup import REPORTS, append_rollup, read_rollup
 from carelake.functions.hashing import md5_bucket
 from carelake.plans.transform import curated_paid, derive, transform
@@ -26,6 +27,7 @@ from carelake.session import written
 from carelake.sources import published
 from carelake.sources.files import number_lines, read_claims_csv, read_layout, read_raw_csv, read_raw_lines, register, run_sql
 from carelake.sources.claims_table import create_claims_table, load_claims_table as claims_table_load, table_claims_of_members, table_member_windows, table_readmissions
+from carelake.sources.clustered import claims_of_ids, members_of_states, read_clustered, write_clustered
 from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, lines_feed, mixed_feed, raw_feed
 from carelake.sources.sinks import remove
 from carelake.sources.sql_functions import create_report_functions
@@ -214,6 +216,26 @@ def rollup_queries() -> dict[str, Query]:
     return {f"r_{name}": _from_rollup(report) for name, report in REPORTS.items()}
 
 
+def clustered_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims layer in the clustered layout (written on first use)."""
+    path = f"{layer_path(spark, sf_dir)}_clustered"
+    if not committed(spark, path):
+        write_clustered(claims(spark, sf_dir), path)
+    return read_clustered(spark, path)
+
+
+ASKED_STATES = ["NATION_3", "NATION_11", "NATION_17"]
+#: Which claims the lookup asks for: some of every 10,000, by two hashes of their id.
+LOOKUP_BUCKET = 5
+
+
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows of the claims of a table of ids."""
+    rows = clustered_claims(spark, sf_dir)
+    ids = claims(spark, sf_dir, ["claim_id"]).filter((md5_bucket(F.col("claim_id"), "ask") < LOOKUP_BUCKET) & (md5_bucket(F.col("claim_id"), "once") < LOOKUP_BUCKET))
+    return claims_of_ids(rows, ids).select("claim_id", "member_id", "state_code", "service_date", F.col("paid_amount").cast("double").alias("paid_amount"))
+
+
 def sketched_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members per state and plan from monthly sketches of two loads, merged: whether the estimate is within five
     standard errors of the exact count beside it."""
@@ -266,6 +288,9 @@ def history_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_queries() -> dict[str, Query]:
     return {
+        "s7_clustered_high_cost_members": lambda s, d: A.high_cost_members(clustered_claims(s, d)),
+        "s7_clustered_members_of_states": lambda s, d: report_types(members_of_states(clustered_claims(s, d), ASKED_STATES, "1995-01-01", "1996-06-30")),
+        "s7_clustered_lookup": clustered_lookup,
         "s4_table_windows": lambda s, d: report_types(table_member_windows(s, claims_table(s, d)).select(*HISTORY_FIELDS)),
         "s4_table_readmissions": lambda s, d: table_readmissions(s, claims_table(s, d)),
         "s4_table_claims_of_members": lambda s, d: report_types(table_claims_of_members(s, claims_table(s, d), SELECTIVE_THRESHOLD)).select("claim_id", "member_id", "paid_amount"),
@@ -353,12 +378,20 @@ def note_length_scorer(notes: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"category": np.where(length < 25, "SHORT", "LONG"), "confidence": length.clip(upper=50) / 50.0})
 
 
+def trained_categories(spark: SparkSession, sf_dir: str, **training) -> DataFrame:
+    """Every denial note by a classifier trained on the wordings that the rules are sure of."""
+    notes = denial_notes(spark, sf_dir)
+    return classify_by_model(notes, train_note_model(rule_labels(notes), **training))
+
+
 def text_queries() -> dict[str, Query]:
     return {
         "t1_executive_summary": lambda s, d: N.executive_summary_text(
             claims(s, d, ["claim_status", "billed_amount", "paid_amount", "claim_type", "provider_type"])
         ),
         "t2_denial_note_categories": lambda s, d: N.classify_denial_notes(denial_notes(s, d)),
+        "t2_trained_note_categories": lambda s, d: trained_categories(s, d).drop("confidence"),
+        "t3_trained_category_trend": lambda s, d: N.denial_category_trend(trained_categories(s, d, folds=0)),
         "u1_scored_notes": lambda s, d: N.classify_denial_notes(denial_notes(s, d), scorer=note_length_scorer),
         "t3_denial_category_trend": lambda s, d: N.denial_category_trend(
             N.classify_denial_notes(denial_notes(s, d))
