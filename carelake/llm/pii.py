@@ -2,26 +2,27 @@
 
 Base spans are patterns with checks: email, ip, card, phone. A value that
 occurs is a protected entity. How strongly a term reveals an entity is
-estimated from co-occurrence in the corpus: a term discloses an entity if
-their pointwise mutual information reaches ``alpha`` of the entity's
-information content,
-
-    log2(N * share / of_entity) >= alpha * log2(N / of_entity),
-
-where N counts documents, of_entity the documents with the entity, and share
-is the lower end (one-sided, 95 %) of Wilson's interval for the part of the
-term's documents that hold the entity. Whole texts count, every entity and
-every term of its documents is judged, and there is no least count: a term
-seen once with an entity has a share of 0.27, one seen ten times and always
-with it 0.79. Disclosing terms become spans of kind "term" wherever they occur,
-in documents without the entity too: they are generalised to a placeholder, or
-removed if with any entity they reach ``remove`` of the information content.
-
-With ``reach``, a narrower method: only the text within so many characters of
-the entity counts, equal surroundings are one observation, of_entity and the
-joint count are in such observations, at least ``support`` of them, the share
-is the plain quotient by the documents with the term, and the terms of an
-entity become spans only in documents that name it.
+estimated from co-occurrence in the corpus, by documents over whole texts: the
+information about the entity that the term leaves open is
+
+    -log2(share) bits,
+
+where share is the lower end (one-sided, 95 %) of Wilson's interval for the part
+of the term's documents that hold the entity. A term that leaves at most
+``generalise`` bits open discloses the entity, so the bar is the same for a
+corpus of any size. It must rest on evidence: at least ``support`` different
+texts hold both (copies of one text are one observation), and the share must
+exceed the entity's share of all documents by more than chance, by Chernoff's
+bound at 5 % divided by the number of pairs judged.
+
+Disclosing terms become spans of kind "term" wherever they occur, in documents
+without the entity too. They are generalised to the class of their letters,
+[CAPS], [NAME] or [WORD], or removed if they leave at most ``remove`` bits open.
+
+Entities that the same texts hold have the same figures for every term, and so
+have terms that the same texts hold; pairs are formed between such classes, not
+between the values and words of a document. Left out before are, without effect
+on the result, entities and terms in too few texts for any share to reach the bar.
 
 Cases: a null text counts as empty; rows that repeat an id are judged each;
 matches that fail their check are dropped without another try; an empty table
@@ -31,6 +32,7 @@ length; only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -117,38 +119,53 @@ def lower_share(part: Column, whole: Column) -> Column:
     return (p + z2 / (2 * whole) - Z * F.sqrt(p * (1 - p) / whole + z2 / (4 * whole * whole))) / (1 + z2 / whole)
 
 
-def near_pairs(found: DataFrame, support: int, reach: int) -> DataFrame:
-    """entity, term, together, of_entity: counts of distinct surroundings."""
-    spans = found.where(F.size("base") > 0).select("text", "base", F.explode("base").alias("s"))
-    before = F.substring(F.col("text"), F.greatest(F.lit(1), F.col("s.start") + 1 - reach), F.least(F.lit(reach), F.col("s.start")))
-    after = F.substring(F.col("text"), F.col("s.stop") + 1, F.lit(reach))
-    entity = F.concat(F.col("s.kind"), F.lit(":"), F.lower("s.value"))
-    contexts = spans.select(entity.alias("entity"), F.concat(before, F.lit(" | "), after).alias("context"))
-    contexts = contexts.select("entity", "context", F.xxhash64("context").alias("c")).dropDuplicates(["entity", "c"])
-    of_entity = contexts.groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support)
-    pairs = contexts.select("entity", F.explode(terms_in(F.col("context"))).alias("term")).groupBy("entity", "term").agg(F.count("*").alias("together"))
-    return pairs.where(F.col("together") >= support).join(of_entity, "entity")
-
-
-def document_pairs(found: DataFrame) -> DataFrame:
-    """entity, term, together, of_entity: counts of documents, over whole texts."""
-    holders = found.where(F.size("base") > 0).select(entities(F.col("base")).alias("entities"), "text")
-    of_entity = holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("of_entity"))
-    pairs = holders.select(F.explode("entities").alias("entity"), terms_in(F.col("text")).alias("terms")).select("entity", F.explode("terms").alias("term"))
-    return pairs.groupBy("entity", "term").agg(F.count("*").alias("together")).join(of_entity, "entity")
-
-
-def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, remove: float, support: int, reach: int | None) -> DataFrame:
-    """entity, term, removed, together, of_term. ``found``: text and base; ``docs``: _text of all documents."""
-    pairs = stage(document_pairs(found) if reach is None else near_pairs(found, support, reach), "pii-pairs")
-    words = docs.select(F.explode(terms_in(F.col("_text"))).alias("term"))
-    of_term = words.groupBy("term").agg(F.count("*").alias("of_term"))  # summed up before any row moves
+def signature(doc: str, *more: Column) -> list[Column]:
+    """What tells the set of texts that a group's rows come from, without collecting it: two words of 64 bits."""
+    return [F.bit_xor(doc).alias("x1"), F.bit_xor(F.xxhash64(F.col(doc), F.lit("other"))).alias("x2"), F.count("*").alias("texts"), *more]
+
+
+def judged_pairs(found: DataFrame, of_term: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes (entity_class, term_class, texts, together, of_entity, of_term) and the terms of the classes.
+
+    ``found``: text and base of all rows; ``of_term``: t (hash of a term), of_term (documents).
+    """
+    holders = found.where(F.size("base") > 0).select(F.xxhash64("text").alias("doc"), "text", "base")
+    held = holders.select("doc", F.explode(entities(F.col("base"))).alias("entity")).groupBy("entity", "doc").agg(F.count("*").alias("m"))
+    held = stage(held, "pii-held")
+    of_entity = held.groupBy("entity").agg(*signature("doc", F.sum("m").alias("of_entity"))).where(F.col("texts") >= support)
+    entity_class = F.xxhash64("x1", "x2", "texts")
+    texts_of = held.join(of_entity, "entity").select(entity_class.alias("entity_class"), "doc", "m", "of_entity").distinct()
+    texts_of = stage(texts_of, "pii-entity-classes")
+
+    docs = texts_of.select("doc").distinct()
+    worded = with_key(holders, F.col("doc"), docs.select(F.col("doc").alias("k"))).select("doc", F.explode(terms_in(F.col("text"))).alias("term"))
+    worded = worded.select("doc", "term", F.xxhash64("term").alias("t")).distinct().join(docs, "doc", "left_semi")
+    worded = stage(worded.join(of_term.where(F.col("of_term") >= support), "t"), "pii-words")
+    classes = worded.groupBy("t").agg(*signature("doc", F.first("term").alias("term"), F.first("of_term").alias("of_term"))).where(F.col("texts") >= support)
+    classes = stage(classes.select("t", "term", "of_term", F.xxhash64("x1", "x2", "texts", "of_term").alias("term_class")), "pii-term-classes")
+    terms_of = worded.select("t", "doc").join(classes.select("t", "term_class", "of_term"), "t").select("term_class", "doc", "of_term").distinct()
+    pairs = texts_of.join(terms_of, "doc").groupBy("entity_class", "term_class", "of_entity", "of_term").agg(F.count("*").alias("texts"), F.sum("m").alias("together"))
+    return stage(pairs.where(F.col("texts") >= support), "pii-pairs"), classes
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
+    """term, removed, elsewhere (in documents without the entity too). ``found``: text and base; ``docs``: _text of all documents."""
+    words = docs.select(F.explode(terms_in(F.col("_text"))).alias("term")).select(F.xxhash64("term").alias("t"))
+    of_term = words.groupBy("t").agg(F.count("*").alias("of_term"))  # summed up before any row moves
     n = float(max(docs.count(), 1))
-    share = lower_share(F.col("together"), F.col("of_term")) if reach is None else F.col("together") / F.greatest("of_term", "together")
-    content = F.log2(F.lit(n) / F.col("of_entity"))
-    reveals = F.log2(F.lit(n) * share / F.col("of_entity"))
-    told = pairs.join(of_term, "term").where((content > 0) & (reveals >= alpha * content))
-    return told.select("entity", "term", (reveals >= remove * content).alias("removed"), "together", "of_term")
+    bar = 2.0**-generalise
+    least = max(support, math.ceil(Z * Z * bar / (1 - bar)))  # with fewer texts no share reaches the bar
+    pairs, classes = judged_pairs(found, of_term, least)
+    judged = pairs.count()
+    part = F.least(F.lit(1.0), F.col("together") / F.col("of_term"))
+    seen = F.col("texts") / part  # different texts among the term's documents, as far as known
+    share, chance = lower_share(part * seen, seen), F.least(F.lit(1.0), F.col("of_entity") / F.lit(n))
+    rest = F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - chance))).otherwise(0.0)
+    apart = F.when(part > chance, seen * (part * F.log(part / chance) + rest)).otherwise(0.0)
+    bits = -F.log2(share)
+    told = pairs.where((bits <= generalise) & (apart >= math.log(max(judged, 1) / 0.05)))
+    told = told.groupBy("term_class").agg(F.max(bits <= remove).alias("removed"), F.max(F.col("together") < F.col("of_term")).alias("elsewhere"))
+    return classes.join(told, "term_class").select("term", "removed", "elsewhere")
 
 
 def with_key(rows: DataFrame, key: Column, keys: DataFrame, most: int = MOST_KEYS) -> DataFrame:
@@ -159,7 +176,7 @@ def with_key(rows: DataFrame, key: Column, keys: DataFrame, most: int = MOST_KEY
     return rows.withColumn("k", key).join(F.broadcast(keys), "k", "left_semi").drop("k")
 
 
-def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.8, remove: float = 0.95, support: int = 1, reach: int | None = None) -> DataFrame:
+def find_private(docs: DataFrame, carry: tuple[str, ...] = (), generalise: float = 1.0, remove: float = 0.25, support: int = 2) -> DataFrame:
     """A row for each row: doc_id, base and spans (arrays of kind, start, stop, value), sanitised (null where nothing
     changes) and the columns named in ``carry``."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_raw"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry) if c != "text"])
@@ -167,21 +184,11 @@ def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.
     base = F.concat(*[spans_of(text, k) for k in KINDS])
     found = stage(rows.withColumn("base", base).withColumn("_row", F.monotonically_increasing_id()), "pii-base")
     found = found.withColumn("text", text)
-    told = disclosing_terms(found, rows.select(text.alias("_text")), alpha, remove, support, reach)
-
-    holders = found.where(F.size("base") > 0)
-    if reach is None:
-        strongest = told.groupBy("term").agg(F.max("removed").alias("removed"), (F.max("together") < F.max("of_term")).alias("elsewhere"))
-        strongest = stage(strongest, "pii-told")
-        # A term that always comes with one entity is in holders only.
-        inside = holders.select("_row", F.explode(terms_in(F.col("text"))).alias("term")).join(strongest.select("term", "removed"), "term")
-        others = found.where(F.size("base") == 0).select("_row", F.explode(terms_in(F.col("text"))).alias("term"))
-        others = with_key(others, F.xxhash64("term"), strongest.where("elsewhere").select(F.xxhash64("term").alias("k")))
-        outside = others.join(strongest.where("elsewhere").select("term", "removed"), "term")
-        due = inside.unionByName(outside)
-    else:
-        due = holders.select("_row", F.explode(entities(F.col("base"))).alias("entity")).join(told, "entity")
-        due = due.groupBy("_row", "term").agg(F.max("removed").alias("removed"))
+    told = stage(disclosing_terms(found, rows.select(text.alias("_text")), generalise, remove, support), "pii-told")
+
+    # A term that always comes with one entity is in holders only.
+    due_in = lambda rows, terms: with_key(rows.select("_row", F.explode(terms_in(F.col("text"))).alias("term")), F.xxhash64("term"), terms.select(F.xxhash64("term").alias("k"))).join(terms.select("term", "removed"), "term")
+    due = due_in(found.where(F.size("base") > 0), told).unionByName(due_in(found.where(F.size("base") == 0), told.where("elsewhere")))
     due = stage(due, "pii-due")
     # Places of the due terms in their documents.
     of_row = due.groupBy("_row").agg(F.collect_list("term").alias("due"), F.collect_list(F.when(F.col("removed"), F.col("term"))).alias("gone"))  # one document's
@@ -194,12 +201,17 @@ def find_private(docs: DataFrame, carry: tuple[str, ...] = (), alpha: float = 0.
     added = F.transform(free, lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["word"].alias("value"))).cast(SPAN)
     marks = F.concat(
         F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put"))),
-        F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.when(s["removed"], F.lit("")).otherwise(F.lit("[TERM]")).alias("put"))),
+        F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.when(s["removed"], F.lit("")).otherwise(letters_class(s["word"])).alias("put"))),
     )
     carried = [F.col("_raw" if c == "text" else f"_carry{i}").alias(c) for i, c in enumerate(carry)]
     return rows.select(F.col("_id").alias("doc_id"), *carried, "base", F.concat("base", added).alias("spans"), F.when(F.size(marks) > 0, rewritten(F.col("text"), F.array_sort(marks))).alias("sanitised"))
 
 
+def letters_class(word: Column) -> Column:
+    """What a generalised term shows: whether it is written in capitals, begins with one, or neither."""
+    return F.when(word.rlike(r"^\p{Lu}+$"), "[CAPS]").when(word.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
+
+
 def places(text: Column, due: Column, gone: Column) -> Column:
     """Where the words are that are due, in small letters, by start; removed: also among ``gone``."""
     steps = F.arrays_zip(F.split(text, TERM, -1).alias("gap"), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("word"))
