@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from carelake.operators.member_windows import member_windows
 from carelake.schema import RAW_FIELDS
-from carelake.session import discard, written
+from carelake.session import discard, sized_shuffles, stored_bytes, written
 from carelake.sources import published
 
 LOAD = "load_no"
@@ -58,7 +58,13 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 
 def append_load(spark: SparkSession, root: str, claims: DataFrame) -> dict:
     """Add typed claims; {load_no, rows_added, rows_rewritten, members_repaired}."""
-    loads, parts, carry, superseded = _state(spark, root)
+    state = _state(spark, root)
+    held = [claims] + ([spark.read.parquet(*[f"{root.rstrip('/')}/{p}" for p in state[1]])] if state[1] else [])
+    with sized_shuffles(spark, sum(map(stored_bytes, held))):
+        return _append(spark, root, claims, *state)
+
+
+def _append(spark: SparkSession, root: str, claims: DataFrame, loads: int, parts: list[str], carry: DataFrame, superseded: DataFrame) -> dict:
     number = loads + 1
     load_id = f"load{number:06d}-{uuid.uuid4().hex[:12]}"
     out = published.load_folder(root, load_id)
