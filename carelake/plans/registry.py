@@ -26,7 +26,7 @@ from carelake.schema import CORRUPT, RAW_FIELDS
 from carelake.session import written
 from carelake.sources import published
 from carelake.sources.files import number_lines, read_claims_csv, read_layout, read_raw_csv, read_raw_lines, register, run_sql
-from carelake.sources.claims_table import create_claims_table, load_claims_table as claims_table_load, table_claims_of_members, table_member_windows, table_readmissions
+from carelake.sources.claims_table import buckets_for, create_claims_table, load_claims_table as claims_table_load, table_claims_of_members, table_member_windows, table_readmissions
 from carelake.sources.clustered import claims_of_ids, members_of_states, read_clustered, write_clustered
 from carelake.sources.layer import claims_layer, committed, layer_claims as claims, layer_path, lines_feed, mixed_feed, raw_feed
 from carelake.sources.sinks import remove
@@ -192,9 +192,11 @@ def claims_table(spark: SparkSession, sf_dir: str) -> str:
     """Name of the bucketed claims table over the layer (loaded on first use)."""
     base = layer_path(spark, sf_dir)
     name, location = f"claims_{base.rsplit('/', 1)[1]}", f"{base}_table"
+    rows = claims(spark, sf_dir)
+    buckets = buckets_for(rows.count())  # from the layer's footers
     if not committed(spark, f"{location}/hot"):
-        claims_table_load(spark, claims(spark, sf_dir), name, location)
-    create_claims_table(spark, name, location)
+        claims_table_load(spark, rows, name, location, buckets)
+    create_claims_table(spark, name, location, buckets)
     return name
 
 

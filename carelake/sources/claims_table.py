@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from carelake.operators.member_windows import member_windows, plain_member_windows
 from carelake.operators.readmission import readmission_pairs
 from carelake.schema import RAW_FIELDS, partition_schema
-from carelake.session import discard, written
+from carelake.session import discard, sized_shuffles, stored_bytes, written
 
 #: Buckets of a table, and claims of a member from which it counts as hot.
 BUCKETS, HOT_ROWS = 64, 100_000
+#: Claims that a bucket is meant to hold.
+BUCKET_ROWS = 250_000
 SORT = ["member_id", "service_date", "claim_id"]
 
 
@@ -43,6 +45,11 @@ def load_claims_table(spark: SparkSession, claims: DataFrame, name: str, locatio
     """Replace the content of the table by ``claims`` (typed)."""
     create_claims_table(spark, name, location, buckets)
     rows = claims.select(*RAW_FIELDS)
+    with sized_shuffles(spark, stored_bytes(rows)):
+        _load(spark, rows, name, buckets, hot_rows)
+
+
+def _load(spark: SparkSession, rows: DataFrame, name: str, buckets: int, hot_rows: int) -> None:
     hot = written(rows.groupBy("member_id").count().filter(F.col("count") > hot_rows).select("member_id"), "hot-members")
     # one task a bucket, with the hash that the bucketed reader expects
     cold = rows.join(hot, "member_id", "left_anti").select(*RAW_FIELDS)
@@ -53,6 +60,14 @@ def load_claims_table(spark: SparkSession, claims: DataFrame, name: str, locatio
     spark.catalog.refreshTable(f"{name}_hot")
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of a table of so many claims: ``BUCKETS``, doubled until a bucket, which is one task, holds ``BUCKET_ROWS`` at most."""
+    buckets = BUCKETS
+    while rows > buckets * BUCKET_ROWS:
+        buckets *= 2
+    return buckets
+
+
 def _both(spark: SparkSession, name: str, by_member: Callable[[DataFrame], DataFrame], general: Callable[[DataFrame], DataFrame]) -> DataFrame:
     hot = spark.table(f"{name}_hot")
     out = by_member(spark.table(name))
