@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from carelake.functions.dates import month_label
 from carelake.functions.money import MONEY_UNIT, money_per, payment_rate, pct, sum_money
 from carelake.plans.etl import SUMMARY_DIMENSIONS, summary_of_fine
+from carelake.session import sized_shuffles, stored_bytes
 from carelake.sources import published
 
 CUBE = ["service_month", "state_code", "plan_id", "claim_type", "provider_type", "diagnosis_code", "claim_status"]
@@ -80,8 +81,9 @@ def read_rollup(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 def _commit(spark: SparkSession, root: str, cube: DataFrame, members: DataFrame, earlier: list[str]) -> str:
     load_id = uuid.uuid4().hex
     out = published.load_folder(root, load_id)
-    cube.write.parquet(f"{out}/cube")
-    members.write.parquet(f"{out}/members")
+    for df, table in ((cube, "cube"), (members, "members")):
+        with sized_shuffles(spark, stored_bytes(df)):
+            df.write.parquet(f"{out}/{table}")
     part = f"{published.LOADS}/{load_id}"
     published.commit(spark, root, load_id, {"cube": f"{part}/cube", "members": f"{part}/members"}, {"parts": [*earlier, part]})
     return load_id
