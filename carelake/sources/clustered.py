@@ -28,6 +28,7 @@ from carelake.sources.files import read_layout
 
 CURVE = ("state_code", "service_date", "member_id")
 KEY = "claim_id"
+PLACE = "_place"
 BITS, SAMPLE = 6, 10_000
 ROWS_PER_FILE = 1_000_000
 #: Ids that are looked up as literals (they reach the Bloom filters); more are joined.
@@ -48,33 +49,45 @@ def curve_cuts(rows: DataFrame, columns: Sequence[str] = CURVE, bits: int = BITS
 
 def range_number(column: Column, cuts: Sequence) -> Column:
     """How many of the sorted bounds a value reaches, by halving: as many comparisons as the number has bits."""
-
-    def within(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(column < F.lit(cuts[mid]), within(low, mid)).otherwise(within(mid + 1, high))
-
-    return F.when(column.isNull(), 0).otherwise(within(0, len(cuts)))
+    if not cuts:
+        return F.lit(0)
+    bounds = F.array(*[F.lit(c) for c in cuts])  # folded to one literal
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    # a step past the last bound compares with null and isn't taken
+    reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= column, at + step).otherwise(at))
+    return F.when(column.isNull(), 0).otherwise(reached)
 
 
 def curve_place(cuts: dict[str, list], bits: int = BITS) -> Column:
     """Place on the Z curve: the bits of the range numbers by turns, the highest first. A column of few ranges has them
     spread over all its bits, so that its highest bits part the rows too."""
+    return _place_of([(range_number(F.col(c), bounds), len(bounds)) for c, bounds in cuts.items()], bits)
+
+
+def _place_of(numbers: Sequence[tuple[Column, int]], bits: int) -> Column:
+    """Range numbers, each with the number of its bounds, as one place."""
     place = F.lit(0).cast("long")
-    for i, (c, bounds) in enumerate(cuts.items()):
-        number = F.floor(range_number(F.col(c), bounds) * (1 << bits) / (len(bounds) + 1)).cast("long")
+    for i, (found, bounds) in enumerate(numbers):
+        number = F.floor(found * (1 << bits) / (bounds + 1)).cast("long")
         for k in range(bits):
             bit = F.shiftright(number, k).bitwiseAND(F.lit(1).cast("long"))
-            place = place.bitwiseOR(F.shiftleft(bit, k * len(cuts) + len(cuts) - 1 - i))
+            place = place.bitwiseOR(F.shiftleft(bit, k * len(numbers) + len(numbers) - 1 - i))
     return place
 
 
+def with_place(rows: DataFrame, cuts: dict[str, list], bits: int = BITS) -> DataFrame:
+    """``rows`` with their place on the curve as a column: ranges, bits and place are projections of their own, so that
+    a row's range of a column is sought once and not once a bit, and the order reads a value."""
+    numbers = {f"_range{i}": range_number(F.col(c), bounds) for i, (c, bounds) in enumerate(cuts.items())}
+    ranges = {f"_range{i}": len(bounds) for i, bounds in enumerate(cuts.values())}
+    return rows.withColumns(numbers).withColumn(PLACE, _place_of([(F.col(c), n) for c, n in ranges.items()], bits)).drop(*numbers)
+
+
 def write_clustered(rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, bloom: bool = True) -> None:
     """Write claims along the curve, with Bloom filters on the claim id."""
     files = max(1, -(-rows.count() // rows_per_file))
-    place = curve_place(curve_cuts(rows))
-    ordered = rows.repartitionByRange(files, place, F.col(KEY)).sortWithinPartitions(place, KEY)
+    placed = with_place(rows, curve_cuts(rows))
+    ordered = placed.repartitionByRange(files, PLACE, KEY).sortWithinPartitions(PLACE, KEY).drop(PLACE)
     writer = ordered.write.mode("overwrite").option("maxRecordsPerFile", 2 * rows_per_file)
     if bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{KEY}", "true").option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(rows_per_file))
