@@ -13,9 +13,9 @@ findings: a table of ``measured`` candidates with a label. Without reviewers'
 labels ``seed_labels`` gives sure ones only: a quoted value assigned to a
 credential's name is a secret unless made of ordinary triples; bare numbers, host names behind an @, paths and
 strings made of ordinary triples are none; the rest stays unlabelled and is
-what the forest decides. It then sees the values only and not the context by
-which the rules call them secrets (``CONTEXT``), so it finds such values in other
-contexts too.
+what the forest decides. It then sees the values and the words near them, but
+not the context by which the rules call them secrets (``CONTEXT``, and the
+credentials' names among the words), so it finds such values in other contexts too.
 
 All distinct candidates are labelled; training takes at most ``max_findings`` of
 the labelled ones in hash order, half of them from each label (more of one if
@@ -64,7 +64,7 @@ FEATURES = ("length", "digit", "upper", "lower", "other", "changes", "entropy",
 #: What neighbouring words say: the nearest before, all before, all after.
 NEAR = ("near", "words_before", "words_after")
 #: What ``seed_labels`` calls a secret by; a forest seeded from it doesn't see these, or it would learn the rules back.
-CONTEXT = ("assigned", "quoted", "words_near", *NEAR)
+CONTEXT = ("assigned", "quoted", "words_near")
 #: Share of all letter triples that an ordinary one makes up; hashed words that have a weight.
 ORDINARY, BUCKETS = 1e-5, 4096
 _LETTER = np.full(256, -1, np.int16)
@@ -143,17 +143,18 @@ def ordinary_share(value: Column, dictionary: bytes) -> Column:
     return F.size(F.filter(own, ordinary)) / F.greatest(F.lit(1), F.size(own)).cast("double")
 
 
-def neighbours(text: Column) -> Column:
-    """Buckets of the words of a stretch of text, in order."""
-    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+def neighbours(text: Column, named: bool = True) -> Column:
+    """Buckets of the words of a stretch of text, in order; without ``named``, of those that are no credential's name."""
+    heard = F.lower(text) if named else F.regexp_replace(F.lower(text), rf"\p{{L}}*(?:{NAMES})\p{{L}}*", " ")
+    return F.transform(F.regexp_extract_all(heard, F.lit(WORDS), F.lit(0)), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
 
 
-def word_weights(rows: DataFrame) -> list[list[float]]:
+def word_weights(rows: DataFrame, named: bool = True) -> list[list[float]]:
     """Weights of all buckets from the findings of the first half, of the second half, and of both.
 
     ``rows``: before, after, label, weight, half (0 or 1).
     """
-    heard = rows.select("half", "label", "weight", F.explode(F.array_distinct(F.concat(neighbours(F.col("before")), neighbours(F.col("after"))))).alias("bucket"))
+    heard = rows.select("half", "label", "weight", F.explode(F.array_distinct(F.concat(neighbours(F.col("before"), named), neighbours(F.col("after"), named)))).alias("bucket"))
     counts = heard.groupBy("half", "label", "bucket").agg(F.sum("weight").alias("n")).collect()  # 4 x BUCKETS at most
     n = np.zeros((2, 2, BUCKETS))
     for r in counts:
@@ -165,12 +166,12 @@ def word_weights(rows: DataFrame) -> list[list[float]]:
     return out
 
 
-def with_neighbours(rows: DataFrame, weights: list[float], other: list[float] | None = None) -> DataFrame:
+def with_neighbours(rows: DataFrame, weights: list[float], other: list[float] | None = None, named: bool = True) -> DataFrame:
     """Candidates with NEAR; with ``other``, rows of half 1 by those weights."""
     table = lambda w: F.split(F.lit(",".join(map(str, w))), ",").cast("array<double>")  # noqa: E731  one folded literal
 
     def measures(weights: list[float]) -> Column:
-        of = lambda text: F.transform(neighbours(text), lambda b: F.get(table(weights), b))
+        of = lambda text: F.transform(neighbours(text, named), lambda b: F.get(table(weights), b))
         mean = lambda x: F.coalesce(F.try_divide(F.aggregate(x, F.lit(0.0), lambda a, b: a + b), F.size(x)), F.lit(0.0))
         before = of(F.col("before"))
         return F.struct(F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit(0.0)).alias("near"), mean(before).alias("words_before"), mean(of(F.col("after"))).alias("words_after"))
@@ -216,6 +217,8 @@ class SecretModel:
     weights: list[float]
     features: tuple[str, ...] = (*FEATURES, *NEAR)
     constant: float = 0.0
+    #: Whether credentials' names count among the neighbouring words.
+    named: bool = True
 
 
 def train(found: DataFrame, labelled=seed_labels, max_findings: int = 10_000, trees: int = 40, depth: int = 8, texts: DataFrame | None = None) -> SecretModel:
@@ -236,14 +239,25 @@ def train(found: DataFrame, labelled=seed_labels, max_findings: int = 10_000, tr
         part = rows.where(F.col("label") == label).orderBy(order, "value", "before", "after").limit(take)
         parts.append(part.withColumn("weight", F.lit(n / take)))
     sample = stage(reduce(DataFrame.unionByName, parts), "secret-sample")
-    first, second, both = word_weights(sample)
-    one = with_neighbours(sample, second, first)
-    one = VectorAssembler(inputCols=list(seen), outputCol="features").transform(one.orderBy("value", "before", "after").coalesce(1))
-    forest = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth, seed=11).fit(one)
+    named = labelled is not seed_labels  # the rules label by these names
+
+    def grown(rows: DataFrame, features: list[str]):
+        one = VectorAssembler(inputCols=features, outputCol="features").transform(rows.orderBy("value", "before", "after").coalesce(1))
+        return RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth, seed=11).fit(one)
+
+    heard = sample
+    if not named:
+        # what the rules leave open speaks for its neighbours too: as a forest that sees the values decides it
+        values = [f for f in seen if f not in NEAR]
+        some = measured(known.orderBy(order, "value", "before", "after").limit(max_findings), dictionary)
+        told = grown(sample, values).transform(VectorAssembler(inputCols=values, outputCol="features").transform(some))
+        heard = told.select("value", "before", "after", F.col("prediction").alias("label"), F.lit(1.0).alias("weight"), F.pmod(F.xxhash64("value", F.lit("half")), F.lit(2)).cast("int").alias("half"))
+    first, second, both = word_weights(heard, named)
+    forest = grown(with_neighbours(sample, second, first, named), list(seen))
     # read back, so that no plan that scores carries the training's summary and its table
     path = f"{ensure_checkpoint_dir(found.sparkSession).rstrip('/')}/llm/secret-forest-{uuid.uuid4().hex}"
     forest.save(path)
-    return SecretModel(dictionary, RandomForestClassificationModel.load(path), both, seen)
+    return SecretModel(dictionary, RandomForestClassificationModel.load(path), both, seen, named=named)
 
 
 def scan(found: DataFrame, model: SecretModel) -> DataFrame:
@@ -252,7 +266,7 @@ def scan(found: DataFrame, model: SecretModel) -> DataFrame:
     if model.forest is None:
         rows = rows.withColumn("score", F.lit(model.constant))
     else:
-        rows = with_neighbours(rows, model.weights)
+        rows = with_neighbours(rows, model.weights, named=model.named)
         rows = model.forest.transform(VectorAssembler(inputCols=list(model.features), outputCol="features").transform(rows))
         rows = rows.withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
     return rows.withColumn("is_secret", F.col("score") >= 0.5)
