@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.common import read_table, text_slices
+from carelake.llm.common import bound_batches, read_table, text_slices
 
 #: Pieces encoded at a time, and distinct pieces remembered by a worker.
 PIECES, REMEMBERED = 200_000, 300_000
@@ -232,6 +232,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "do
     ``decoded`` is made from the ids alone. ``vocabulary`` is a path that every
     executor can open (a file shipped with the job or installed everywhere).
     """
+    bound_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()

@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.llm.common import read_table, text_slices
+from carelake.llm.common import bound_batches, read_table, text_slices
 from carelake.llm.words import find_words, hash_spans, join_texts
 
 BINS = 8
+#: Bytes of text measured at a time: several arrays hold a 64-bit number for each of them.
+SLICE = 500_000
 #: Measures of a line.
 MEASURES = ("bytes", "words", "word_bytes", "lower", "upper", "digit", "stop", "mark", "symbol", "beyond_ascii", "doubled", "distinct", "same_as_next", "short", "long", "marked_words", "seen")
 
@@ -198,6 +200,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, max_lines: int = 120_000) -> LineField:
     """Fit on labelled documents that aren't held out. The sample's bounds are in the module's text."""
+    bound_batches(docs.sparkSession)
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_label"))
     chosen = marked.orderBy(F.xxhash64("_id"), "_id").limit(max_docs)  # at most max_docs rows, so they can be broadcast
@@ -210,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, max_lines: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_slices(batch, "_text"):
+            for part, texts in text_slices(batch, "_text", SLICE):
                 x, _, lines = line_measures(texts)
                 rows = np.split(x, np.cumsum(lines)[:-1])
                 yield pa.RecordBatch.from_arrays([part.column("_h"), part.column("_label"), pa.array([r.astype("<f8").tobytes() for r in rows], pa.binary())], names=["h", "label", "x"])
@@ -225,13 +228,14 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, max_lines: i
 
 def score_documents(docs: DataFrame, field: LineField, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``quality_score``, 0 to 1, of the whole text."""
+    bound_batches(docs.sparkSession)
     kept = docs.drop("quality_score")
     names, spot = kept.columns, kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(len(names))])
-            for part, texts in text_slices(batch, f"c{spot}"):
+            for part, texts in text_slices(batch, f"c{spot}", SLICE):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(field.score(texts))], names=[*names, "quality_score"])
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("quality_score", T.DoubleType())]))
