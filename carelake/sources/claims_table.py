@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from carelake.operators.member_windows import member_windows, plain_member_windows
 from carelake.operators.readmission import readmission_pairs
 from carelake.schema import RAW_FIELDS, partition_schema
-from carelake.session import discard, sized_shuffles, stored_bytes, written
+from carelake.session import discard, freed_shuffles, sized_shuffles, stored_bytes, written
 
 #: Buckets of a table, and claims of a member from which it counts as hot.
 BUCKETS, HOT_ROWS = 64, 100_000
@@ -45,7 +45,7 @@ def load_claims_table(spark: SparkSession, claims: DataFrame, name: str, locatio
     """Replace the content of the table by ``claims`` (typed)."""
     create_claims_table(spark, name, location, buckets)
     rows = claims.select(*RAW_FIELDS)
-    with sized_shuffles(spark, stored_bytes(rows)):
+    with sized_shuffles(spark, stored_bytes(rows)), freed_shuffles(spark):
         _load(spark, rows, name, buckets, hot_rows)
 
 

@@ -3,8 +3,12 @@
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from carelake.plans import etl
+from carelake.schema import RAW_FIELDS, partition_schema
 from carelake.session import freed_shuffles
+from carelake.sources.claims_table import load_claims_table
 from carelake.sources.files import read_raw_lines
 from carelake.sources.layer import build_claims_layer
 
@@ -15,6 +19,14 @@ def shuffles_on_disk(spark):
     return {int(f.split("_")[1]) for top in folders for d, _, files in os.walk(top) for f in files if f.startswith("shuffle_")}
 
 
+def claims_rows(spark):
+    """60 claims, half of them of one member."""
+    text = [F.concat(F.lit(f"{f}-"), F.col("id") % 7).alias(f) for f in RAW_FIELDS[2:]]
+    made = spark.range(60).select(F.concat(F.lit("c"), F.col("id")).alias("claim_id"), F.when(F.col("id") % 2 == 0, "m").otherwise(F.col("id").cast("string")).alias("member_id"), *text)
+    given = {f.name: f.dataType for f in partition_schema(RAW_FIELDS).fields}
+    return made.select(*[F.lit("2024-01-01").cast("date").alias(c) if c == "service_date" else F.expr(f"try_cast({c} AS {given[c].simpleString()})").alias(c) for c in RAW_FIELDS])
+
+
 def new_number(spark):
     """The number of a shuffle made now: later ones have higher numbers."""
     spark.range(1000).repartition(3, "id").write.format("noop").mode("overwrite").save()
@@ -53,3 +65,13 @@ def test_etl(spark, tmp_path, data_path):
     number = new_number(spark)
     etl.run_etl(spark, raw, str(tmp_path / "out"), "2024-01-01T00:00:00")
     assert not left_since(spark, number)
+
+
+def test_claims_table(spark, tmp_path):
+    rows = claims_rows(spark)
+    number = new_number(spark)
+    load_claims_table(spark, rows, "freed_claims", str(tmp_path / "table"), buckets=4, hot_rows=20)
+    assert not left_since(spark, number)
+    assert spark.table("freed_claims_all").count() == 60
+    for kind, name in (("VIEW", "freed_claims_all"), ("TABLE", "freed_claims"), ("TABLE", "freed_claims_hot")):
+        spark.sql(f"DROP {kind} {name}")
