@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.plans import etl
 from carelake.schema import RAW_FIELDS, partition_schema
-from carelake.session import freed_shuffles
+from carelake.session import discard, freed_shuffles
 from carelake.sources.claims_table import load_claims_table
 from carelake.sources.files import read_raw_lines
 from carelake.sources.layer import build_claims_layer
@@ -67,6 +67,15 @@ def test_etl(spark, tmp_path, data_path):
     assert not left_since(spark, number)
 
 
+def test_checked_rows_compressed(spark, tmp_path, data_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(etl, "discard", kept.append)
+    etl.run_etl(spark, read_raw_lines(spark, data_path("claims_defects.csv")), str(tmp_path / "out"), "2024-01-01T00:00:00")
+    files = [f for checked in kept for f in checked.inputFiles()]
+    assert files and all(".zstd." in f for f in files)
+    discard(kept[0])
+
+
 def test_claims_table(spark, tmp_path):
     rows = claims_rows(spark)
     number = new_number(spark)
