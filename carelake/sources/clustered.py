@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.session import freed_shuffles
 from carelake.sources.files import read_layout
 
 CURVE = ("state_code", "service_date", "member_id")
@@ -85,13 +86,14 @@ def with_place(rows: DataFrame, cuts: dict[str, list], bits: int = BITS) -> Data
 
 def write_clustered(rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, bloom: bool = True) -> None:
     """Write claims along the curve, with Bloom filters on the claim id."""
-    files = max(1, -(-rows.count() // rows_per_file))
-    placed = with_place(rows, curve_cuts(rows))
-    ordered = placed.repartitionByRange(files, PLACE, KEY).sortWithinPartitions(PLACE, KEY).drop(PLACE)
-    writer = ordered.write.mode("overwrite").option("maxRecordsPerFile", 2 * rows_per_file)
-    if bloom:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{KEY}", "true").option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(rows_per_file))
-    writer.parquet(path)
+    with freed_shuffles(rows.sparkSession):
+        files = max(1, -(-rows.count() // rows_per_file))
+        placed = with_place(rows, curve_cuts(rows))
+        ordered = placed.repartitionByRange(files, PLACE, KEY).sortWithinPartitions(PLACE, KEY).drop(PLACE)
+        writer = ordered.write.mode("overwrite").option("maxRecordsPerFile", 2 * rows_per_file)
+        if bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{KEY}", "true").option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(rows_per_file))
+        writer.parquet(path)
 
 
 def read_clustered(spark: SparkSession, path: str) -> DataFrame:

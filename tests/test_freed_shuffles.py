@@ -9,6 +9,7 @@ from carelake.plans import etl
 from carelake.schema import RAW_FIELDS, partition_schema
 from carelake.session import discard, freed_shuffles
 from carelake.sources.claims_table import load_claims_table
+from carelake.sources.clustered import write_clustered
 from carelake.sources.files import read_raw_lines
 from carelake.sources.layer import build_claims_layer
 
@@ -84,3 +85,11 @@ def test_claims_table(spark, tmp_path):
     assert spark.table("freed_claims_all").count() == 60
     for kind, name in (("VIEW", "freed_claims_all"), ("TABLE", "freed_claims"), ("TABLE", "freed_claims_hot")):
         spark.sql(f"DROP {kind} {name}")
+
+
+def test_clustered(spark, tmp_path):
+    rows = claims_rows(spark)
+    number = new_number(spark)
+    write_clustered(rows, str(tmp_path / "clustered"), rows_per_file=20)
+    assert not left_since(spark, number)
+    assert spark.read.parquet(str(tmp_path / "clustered")).count() == 60
