@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.operators.quality import INVALID, check, valid_claims, validation_errors
-from carelake.session import discard, written
+from carelake.session import discard, freed_shuffles, written
 from carelake.sources.files import number_lines, read_raw_lines
 
 
@@ -42,8 +42,12 @@ def _write_batch(paths: LandingPaths):
         files = [r.path for r in batch.select("path").collect()]  # max_files names at most
         if not files:
             return
+        with freed_shuffles(batch.sparkSession):
+            load(batch.sparkSession, files, batch_id)
+
+    def load(spark: SparkSession, files: list[str], batch_id: int) -> None:
         # read and checked once; the two writes below each read their part
-        checked = written(check(read_raw_lines(batch.sparkSession, files)), "landing", INVALID)
+        checked = written(check(read_raw_lines(spark, files)), "landing", INVALID, compression="zstd")
         (
             valid_claims(checked)
             .withColumn("batch_id", F.lit(batch_id))

@@ -1,6 +1,7 @@
 """Builds and loads leave none of their shuffle files behind."""
 
 import os
+import shutil
 import time
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from carelake.sources.claims_table import load_claims_table
 from carelake.sources.clustered import write_clustered
 from carelake.sources.files import read_raw_lines
 from carelake.sources.layer import build_claims_layer
+from carelake.streaming.landing import LandingPaths, start_landing_ingest
 
 
 def shuffles_on_disk(spark):
@@ -93,3 +95,14 @@ def test_clustered(spark, tmp_path):
     write_clustered(rows, str(tmp_path / "clustered"), rows_per_file=20)
     assert not left_since(spark, number)
     assert spark.read.parquet(str(tmp_path / "clustered")).count() == 60
+
+
+def test_landing(spark, tmp_path, data_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    shutil.copy(data_path("claims_fixture.csv"), landing)
+    paths = LandingPaths(str(landing), *[str(tmp_path / p) for p in ("claims", "errors", "checkpoint")])
+    number = new_number(spark)
+    start_landing_ingest(spark, paths).awaitTermination()
+    assert not left_since(spark, number)
+    assert spark.read.parquet(paths.claims_dir).count() > 0
