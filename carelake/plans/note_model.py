@@ -75,7 +75,10 @@ def _fit(rows: DataFrame, buckets: int, reg: float) -> PipelineModel:
         IDF(inputCol="_tf", outputCol="_features"),
         LogisticRegression(featuresCol="_features", labelCol=_LABEL, weightCol=_WEIGHT, family="multinomial", regParam=reg, maxIter=60, rawPredictionCol="_raw", probabilityCol="_p", predictionCol="_at"),
     ]
-    return Pipeline(stages=steps).fit(rows)
+    fitted = Pipeline(stages=steps).fit(rows)
+    # of two categories the summary of the training holds the session, which no task can take once it has observed a query
+    fitted.stages[-1]._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return fitted
 
 
 def _softmax(raw: Column, temperature: float) -> Column:
